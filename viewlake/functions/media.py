@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ def channel_from_title(
 ) -> Column:
     """The one channel whose word occurs in the title; NULL for none or several."""
     lowered = F.lower(title)
-    hits = F.array_compact(
-        F.array(*[F.when(F.contains(lowered, F.lit(w)), F.lit(c)) for w, c in words])
-    )
-    return F.when(F.size(hits) == 1, F.get(hits, F.lit(0)))
+    found = [F.contains(lowered, F.lit(word)) for word, _ in words]
+    hits = reduce(lambda a, b: a + b, (hit.cast("int") for hit in found))
+    channels = [F.when(hit, channel) for hit, (_, channel) in zip(found, words)]
+    return F.when(hits == 1, F.coalesce(*channels))

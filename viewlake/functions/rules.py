@@ -110,7 +110,7 @@ def _record_issues() -> str:
 def _unknown_names(value: str, parent: str | None) -> str:
     known = ", ".join(f"'{name}'" for name in C.known_names(parent))
     names = f"map_keys(try_variant_get({value}, '$', 'map<string,variant>'))"
-    extra = f"array_except({names}, array({known}))"
+    extra = f"filter({names}, name -> name not in ({known}))"
     if parent:
         extra = f"transform({extra}, name -> concat('{parent}.', name))"
     return f"coalesce({extra}, {NO_NAMES})"
@@ -143,12 +143,13 @@ def check_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     no_object = _issue(C.NOT_AN_OBJECT, "$", "Expected a JSON object.")
     unknown = [_unknown_names("event", None)]
     unknown += [_unknown_names(f"top.{name}", name) for name in C.OBJECTS]
+    unknown_fields = f"case when top is null then {NO_NAMES} else concat({', '.join(unknown)}) end"
+    issues = (
+        f"case when is_valid then {NO_ISSUES} when event is null then array({malformed})"
+        f" when top is null then array({no_object}) else {_record_issues()} end"
+    )
     result = (
-        "named_struct('is_valid', is_valid, 'issues',"
-        f" case when is_valid then {NO_ISSUES} when event is null then array({malformed})"
-        f" when top is null then array({no_object}) else {_record_issues()} end,"
-        " 'unknown_fields',"
-        f" case when top is null then {NO_NAMES} else concat({', '.join(unknown)}) end)"
+        f"named_struct('is_valid', is_valid, 'issues', {issues}, 'unknown_fields', unknown_fields)"
     )
     steps = [
         [f"{wrapped_line(f'`{column}`')} as wrapped"],
@@ -158,9 +159,10 @@ def check_lines(lines: DataFrame, column: str = "value") -> DataFrame:
         ["event", "top", *inner,
          "try_variant_get(top.received_at, '$', 'string') as received_text",
          *[_type_tag(f) for f in C.FIELDS]],
-        ["*", f"{_is_clean()} as is_valid"],
+        ["*", f"{_is_clean()} as is_valid", f"{unknown_fields} as unknown_fields"],
         # Filters do not move below a generator. Without it, Catalyst would push one
-        # through every projection above and write the parsing out once per use.
+        # through every projection above and write the parsing out once per use. The
+        # generator is interpreted, so only broken records leave it real work.
         [f"inline_outer(array({result}))"],
     ]
     for step in steps:

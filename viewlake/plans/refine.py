@@ -68,9 +68,14 @@ def project_fact(events: DataFrame) -> DataFrame:
 
 
 def dim_media(events: DataFrame) -> DataFrame:
-    """Newest title, url and channel per media. Run ``require_channels`` first."""
-    newest = latest_per_key(project_media(events), ["media_id"], ["received_at", "title", "url"])
-    return newest.select("media_id", "title", "url", "channel")
+    """Newest title, url and channel per media. Run ``require_channels`` first.
+
+    The channel follows from the title, so only the rows that stay are classified.
+    """
+    candidates = project_media(events).drop("channel")
+    newest = latest_per_key(candidates, ["media_id"], ["received_at", "title", "url"])
+    channel = channel_from_title(F.col("title")).alias("channel")
+    return newest.select("media_id", "title", "url", channel)
 
 
 def dim_visitors(events: DataFrame) -> DataFrame:

@@ -35,30 +35,36 @@ def normalized_engagement(engagement: DataFrame) -> DataFrame:
     return engagement.withColumns(changes)
 
 
-def _one_per_key(dimension: DataFrame, key: str, columns: list[str]) -> DataFrame:
+def _look_up(rows: DataFrame, dimension: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Left-join one dimension row per key.
+
+    Nothing is hinted: Spark broadcasts the dimension only while its measured size is
+    below the threshold, and otherwise shuffles both sides. Adaptive execution splits a
+    hot key only between two plain shuffles, so the dimension is joined by a computed
+    key: without it the join would reuse the partitions of the deduplication and a hot
+    key would stay in one task.
+    """
     others = [c for c in columns if c != key]
-    return latest_per_key(dimension.select(*columns), [key], others)
+    unique = latest_per_key(dimension.select(*columns), [key], others)
+    unique = unique.select(F.concat(F.col(key).cast("string"), F.lit("")).alias("_key"), *others)
+    return rows.join(unique, rows[key] == unique["_key"], "left").drop("_key")
 
 
 def enrich(
     engagement: DataFrame, media: DataFrame | None = None, visitors: DataFrame | None = None
 ) -> DataFrame:
-    """Left-join the dimensions that exist; name what is missing "Unknown".
-
-    Nothing is hinted: Spark broadcasts a dimension only while its measured size is
-    below the threshold, and otherwise shuffles and splits hot keys at run time.
-    """
+    """Left-join the dimensions that exist; name what is missing "Unknown"."""
     enriched = normalized_engagement(engagement)
     if media is not None:
         require_columns(media.columns, ("media_id", "title", "channel"), "dim_media")
         columns = ["media_id", "title", "channel"] + (["url"] if "url" in media.columns else [])
-        enriched = enriched.join(_one_per_key(media, "media_id", columns), "media_id", "left")
+        enriched = _look_up(enriched, media, "media_id", columns)
     else:
         enriched = enriched.withColumns({"title": F.col("media_id"), "channel": F.lit(UNKNOWN)})
     if visitors is not None:
         columns = ["visitor_id", "ip_address", "country"]
         require_columns(visitors.columns, columns, "dim_visitors")
-        enriched = enriched.join(_one_per_key(visitors, "visitor_id", columns), "visitor_id", "left")
+        enriched = _look_up(enriched, visitors, "visitor_id", columns)
     else:
         enriched = enriched.withColumns({"ip_address": F.lit(UNKNOWN), "country": F.lit(UNKNOWN)})
     return enriched.na.fill(UNKNOWN, subset=["title", "channel", "country", "ip_address"])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from viewlake.functions import contract as C
 from viewlake.functions.rules import check_lines
 from viewlake.operators.lines import number_lines
-from viewlake.session import new_folder
+from viewlake.session import new_folder, spread
 from viewlake.sources import storage
 from viewlake.sources.landing import landing_lines, read_manifest, utc_text
 from viewlake.sources.reports import write_report
@@ -119,7 +119,8 @@ def unknown_field_counts(checked: DataFrame) -> DataFrame:
 
 def numbered_and_checked(lines: DataFrame) -> DataFrame:
     """Line numbers and verdicts for lines with their address (see ``landing_lines``)."""
-    return check_lines(number_lines(lines, new_folder(lines.sparkSession, "blocks")))
+    numbered = number_lines(lines, new_folder(lines.sparkSession, "blocks"))
+    return check_lines(spread(numbered, lines))
 
 
 def write_layers(checked: DataFrame, run: ValidationRun) -> dict[str, int]:

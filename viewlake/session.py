@@ -66,3 +66,13 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as Parquet and read it back: one evaluation, no long lineage."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, scan: DataFrame) -> DataFrame:
+    """Repartition ``df`` when the scan it comes from has fewer tasks than there are cores.
+
+    A few large gzip files cannot be split, yet the work after reading them can. Asking a
+    bare scan for its partitions runs nothing.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if scan.rdd.getNumPartitions() < cores else df

@@ -20,7 +20,7 @@ from viewlake.plans import refine, runs, serve
 from viewlake.plans import validate as checks
 from viewlake.plans.curate import visitor_engagement, with_audit
 from viewlake.plans.runs import Layout
-from viewlake.session import configure, new_folder
+from viewlake.session import configure, new_folder, spread
 from viewlake.sources import ledger as L
 from viewlake.sources.landing import (
     Extraction,
@@ -498,7 +498,8 @@ def zero_valid_noop(spark, sf_dir):
 
 
 def _checked(spark, sf_dir):
-    return check_lines(B.faulty_lines(spark, sf_dir))
+    lines = B.faulty_lines(spark, sf_dir)
+    return check_lines(spread(lines, B.table(spark, sf_dir, "events")))
 
 
 def _issues(spark, sf_dir, code, *fields):
