@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewlake.operators.gates import require_columns
+from viewlake.sources.landing import utc_text
 
 
 def visitor_engagement(fact: DataFrame) -> DataFrame:
@@ -34,7 +35,9 @@ def with_audit(
     refreshed_at: dt.datetime | str,
     run_id: str,
 ) -> DataFrame:
-    """Stamp freshness and lineage on every row."""
+    """Stamp freshness and lineage on every row. A naive moment counts as UTC."""
+    if isinstance(refreshed_at, dt.datetime):
+        refreshed_at = utc_text(refreshed_at)
     return engagement.select(
         "*",
         F.lit(data_through).cast("date").alias("data_through_date"),

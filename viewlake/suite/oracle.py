@@ -245,6 +245,8 @@ def oracle_sql() -> dict[str, str]:
         "curated_audit": _model(f"""{_VE_ROUNDED}, date '2024-01-31' data_through_date,
             '2024-02-01 06:30:00' pipeline_refreshed_at, 'run-0001' ingestion_run_id from ve"""),
         "enrich_dashboard": _model(_DETAIL.replace("from enriched", ", url from enriched")),
+        "load_dashboard": _model(_DETAIL.replace(
+            "from enriched", ", url, 'run-0001' newest_run, 0 as version from enriched")),
         "enrich_without_dims": _model(f"""{_VE_ROUNDED}, media_id title, 'Unknown' channel,
             'Unknown' ip_address, 'Unknown' country from ve"""),
         "engagement_bands": _model("""select case when avg_pct_viewed <= 0.25 then '0–25%'

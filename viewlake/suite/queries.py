@@ -19,6 +19,7 @@ from viewlake.operators.upsert import upsert
 from viewlake.plans import refine, runs, serve
 from viewlake.plans import validate as checks
 from viewlake.plans.curate import visitor_engagement, with_audit
+from viewlake.plans.dashboard import load_dashboard
 from viewlake.plans.runs import Layout
 from viewlake.session import configure, new_folder, spread
 from viewlake.sources import ledger as L
@@ -342,7 +343,7 @@ def channel_violations(spark, sf_dir):
 @query
 def curated_audit(spark, sf_dir):
     audited = with_audit(
-        B.model(spark, sf_dir).engagement, B.LAST_DAY, dt.datetime(2024, 2, 1, 6, 30), RUN_ID
+        B.model(spark, sf_dir).engagement, B.LAST_DAY, EXTRACTED_AT, RUN_ID
     )
     refreshed = F.date_format("pipeline_refreshed_at", "yyyy-MM-dd HH:mm:ss")
     return rounded(audited.withColumn("pipeline_refreshed_at", refreshed), "avg_pct_viewed")
@@ -476,6 +477,30 @@ def lineage_gate(spark, sf_dir):
     return values.select("day", "event_type", "valid_records", verdict.alias("verdict"))
 
 
+@named("load_dashboard")
+def loaded_dashboard(spark, sf_dir):
+    """Tables stored, then read back, gated and enriched, with their newest audit values."""
+    layout = _layout(spark, "dashboard")
+    tables = B.model(spark, sf_dir)
+    audited = with_audit(tables.engagement, B.LAST_DAY, EXTRACTED_AT, RUN_ID)
+    overwrite_table(audited, layout.table("visitor_engagement"))
+    upsert_table(tables.media, layout.table("dim_media"), refine.DIM_MEDIA.keys)
+    upsert_table(tables.visitors, layout.table("dim_visitors"), refine.DIM_VISITORS.keys)
+    board = load_dashboard(
+        spark,
+        layout.table("visitor_engagement"),
+        layout.table("dim_media"),
+        layout.table("dim_visitors"),
+    )
+    fresh = board.freshness.select(F.col("ingestion_run_id").alias("newest_run"))
+    rows = board.enriched.drop("data_through_date", "pipeline_refreshed_at", "ingestion_run_id")
+    newest = fresh.collect()[0]["newest_run"]
+    stamped = rows.withColumns(
+        {"newest_run": F.lit(newest), "version": F.lit(board.curated_version)}
+    )
+    return rounded(stamped, "avg_pct_viewed")
+
+
 @query
 def zero_valid_noop(spark, sf_dir):
     """An empty batch leaves table and version as they are."""
@@ -623,7 +648,7 @@ def unknown_field_counts(spark, sf_dir):
 @query
 def pipeline_freshness(spark, sf_dir):
     rows = with_audit(
-        B.model(spark, sf_dir).engagement, B.LAST_DAY, dt.datetime(2024, 2, 1, 6, 30), RUN_ID
+        B.model(spark, sf_dir).engagement, B.LAST_DAY, EXTRACTED_AT, RUN_ID
     )
     refreshed = F.date_format("pipeline_refreshed_at", "yyyy-MM-dd HH:mm:ss")
     found = serve.pipeline_freshness(rows)
