@@ -18,6 +18,7 @@ from viewlake.plans.refine import FACT, REFINED, RefinedTable, build_table, stag
 from viewlake.plans.validate import run_validation
 from viewlake.session import new_folder
 from viewlake.sources import ledger as L
+from viewlake.sources import storage
 from viewlake.sources.landing import (
     Extraction,
     extract_window,
@@ -133,11 +134,7 @@ def refine(
     source = validated_input(spark, found[L.REPORT_URI], found[L.RUN_ID])
     counts = dict.fromkeys((t.name for t in tables), 0)
     if source.valid_records:
-        events = staged_events(spark, source.raw_uri, new_folder(spark, "events"))
-        # All gates come first: a bad batch must not reach one table and miss another.
-        built = [(table, build_table(events, table)) for table in tables]
-        for table, rows in built:
-            counts[table.name] = load_table(rows, layout, table)
+        counts = refine_raw(spark, layout, source.raw_uri, tables)
     for table in tables:
         properties = L.table_properties(
             table.name, layout.table(table.name), counts[table.name], found[L.RUN_ID]
@@ -146,6 +143,20 @@ def refine(
     return counts
 
 
+def refine_raw(
+    spark: SparkSession, layout: Layout, raw_uri: str, tables: Sequence[RefinedTable] = REFINED
+) -> dict[str, int]:
+    """Load raw lines into the tables by way of a staged copy, which is removed again."""
+    path = new_folder(spark, "events")
+    try:
+        events = staged_events(spark, raw_uri, path)
+        # All gates come first: a bad batch must not reach one table and miss another.
+        built = [(table, build_table(events, table)) for table in tables]
+        return {table.name: load_table(rows, layout, table) for table, rows in built}
+    finally:
+        storage.remove_folder(spark, path)
+
+
 def load_table(rows: DataFrame, layout: Layout, table: RefinedTable) -> int:
     """Upsert, and fold the collected batches now and then."""
     root = layout.table(table.name)

@@ -8,15 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from viewlake.plans.refine import REFINED, build_table, staged_events
-from viewlake.plans.runs import Layout, load_table
+from viewlake.plans.runs import Layout, refine_raw
 from viewlake.plans.validate import (
     ValidationRun,
     finish_report,
     numbered_and_checked,
     write_layers,
 )
-from viewlake.session import new_folder
 
 
 def landed_stream(
@@ -49,9 +47,7 @@ def load_batch(
     counts = write_layers(numbered_and_checked(lines), run)
     report = finish_report(spark, run, counts, "", [], "stream")
     if counts["valid"]:
-        events = staged_events(spark, run.layer("raw"), new_folder(spark, "events"))
-        for table, rows in [(t, build_table(events, t)) for t in REFINED]:
-            load_table(rows, layout, table)
+        refine_raw(spark, layout, run.layer("raw"))
     return report
 
 
