@@ -180,7 +180,7 @@ def oracle_sql() -> dict[str, str]:
         # ---- sources and sinks
         "scan_landing_lines": f"with {_WIRE} select media_id, event_key from wire",
         "line_lineage": f"""with {_WIRE} select media_id, count(*) line_count,
-            count(*) distinct_numbers, 1 first_line, count(*) numbered_lines
+            count(*) distinct_numbers, cast(1 as bigint) first_line, count(*) numbered_lines
             from wire group by media_id""",
         "scan_raw_events": f"""with {_WIRE} select event_key,
             strftime(received_at, '%Y-%m-%dT%H:%M:%S.%fZ') received_at, visitor_key, media_id,
@@ -201,7 +201,7 @@ def oracle_sql() -> dict[str, str]:
         "run_manifest": f"""with {_WIRE}, w as ({_WINDOWED}),
             wanted as (select * from (values (0, 'm3'), (1, 'm0'), (2, 'm7')) v(position, media_id))
             select 'run-0001' run_id, '2024-01-08' start_date, '2024-01-14' end_date,
-              3 media_count, (select count(*) from w) total_event_count, position,
+              cast(3 as bigint) media_count, (select count(*) from w) total_event_count, position,
               wanted.media_id, count(w.event_key) event_count,
               cast(ceil(count(w.event_key) / 100.0) as bigint) page_count, 'succeeded' status
             from wanted left join w on w.media_id = wanted.media_id
@@ -278,7 +278,7 @@ def oracle_sql() -> dict[str, str]:
             case event_type when 'click' then 'wrong run' when 'purchase' then 'no raw uri'
               when 'view' then 'ok' else 'bad count' end verdict
             from events group by 1, 2""",
-        "zero_valid_noop": f"""with {_WIRE} select count(*) loaded, 0 added, count(*) row_count,
+        "zero_valid_noop": f"""with {_WIRE} select count(*) loaded, cast(0 as bigint) added, count(*) row_count,
             true same_version from good""",
         # ---- record validation
         "dq_malformed": _issue_rows("code = 'malformed_json'", "event_id, field"),
