@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from llm.fingerprints import op9_fingerprints
+from llm.language_id import op10_language_id
+from llm.mixing import op2_mix_sources
 from llm.substring_dedup import op1_substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_substring_dedup,
+        op2_mix_sources,
+        op9_fingerprints,
+        op10_language_id,
     )
 }
 
