@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from llm import preferences
+from llm.decontamination import op8_decontamination
 from llm.fingerprints import op9_fingerprints
 from llm.language_id import op10_language_id
 from llm.mixing import op2_mix_sources
+from llm.preferences import op3_preference_format
 from llm.substring_dedup import op1_substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -16,9 +19,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_substring_dedup,
         op2_mix_sources,
+        op3_preference_format,
+        op8_decontamination,
         op9_fingerprints,
         op10_language_id,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_preference_format": preferences.SQL,
+}
