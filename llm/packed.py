@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 PACKED = "bucket int, decided boolean, ids binary, counts binary, places binary, keys binary"
+ANSWER = "home int, ids binary, counts binary, places binary"
 
 
 def planes(x: np.ndarray) -> bytes:
@@ -43,6 +44,20 @@ def _decided(
     return first, decided
 
 
+def _packed_ids(ids: np.ndarray, place: np.ndarray) -> dict[str, bytes]:
+    first = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
+    return {
+        "ids": planes(ids[first]),
+        "counts": planes(np.diff(np.append(first, len(ids))).astype(np.int32)),
+        "places": planes(np.diff(place, prepend=0).astype(np.int32)),
+    }
+
+
+def _unpacked_ids(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    ids = np.repeat(unplanes(row["ids"], np.int64), unplanes(row["counts"], np.int32))
+    return ids, np.cumsum(unplanes(row["places"], np.int32).astype(np.int64))
+
+
 def pack(ids: np.ndarray, place: np.ndarray, keys: np.ndarray, n: int, earliest: bool) -> Iterator[pa.RecordBatch]:
     """Rows for the exchange. ids: of each position, with place ascending in a run of one id. keys: (positions, words).
 
@@ -62,13 +77,10 @@ def pack(ids: np.ndarray, place: np.ndarray, keys: np.ndarray, n: int, earliest:
         rows: dict[str, list] = {k: [] for k in ("bucket", "decided", "ids", "counts", "places", "keys")}
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             own = take[a:b]
-            new = np.concatenate(([True], ids[own[1:]] != ids[own[:-1]]))
-            first = np.flatnonzero(new)
             rows["bucket"].append(int(home[a]))
             rows["decided"].append(kind)
-            rows["ids"].append(planes(ids[own[first]]))
-            rows["counts"].append(planes(np.diff(np.append(first, len(own))).astype(np.int32)))
-            rows["places"].append(planes(np.diff(place[own], prepend=0).astype(np.int32)))
+            for k, v in _packed_ids(ids[own], place[own]).items():
+                rows[k].append(v)
             rows["keys"].append(b"" if kind else np.ascontiguousarray(keys[own]).tobytes())
         yield pa.RecordBatch.from_arrays(
             [pa.array(rows["bucket"], pa.int32()), pa.array(rows["decided"]), *(pa.array(rows[k], pa.binary()) for k in ("ids", "counts", "places", "keys"))],
@@ -80,21 +92,33 @@ def unpack(group: pa.Table, words: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     """(decided, ids, places, keys) of the rows of a bucket; decided ones have keys of zero."""
     parts = []
     for row in group.to_pylist():
-        counts = unplanes(row["counts"], np.int32)
-        ids = np.repeat(unplanes(row["ids"], np.int64), counts)
-        place = np.cumsum(unplanes(row["places"], np.int32).astype(np.int64))
+        ids, place = _unpacked_ids(row)
         keys = np.zeros((len(ids), words), np.uint64) if row["decided"] else np.frombuffer(row["keys"], np.uint64).reshape(-1, words)
         parts.append((np.full(len(ids), row["decided"]), ids, place, keys))
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
-def decide(group: pa.Table, words: int, earliest: bool) -> pa.Table:
-    """(id, places) of the positions of a bucket that are decided, or that the bucket's other rows decide."""
+def decide(group: pa.Table, words: int, earliest: bool, n: int) -> pa.Table:
+    """Rows of ANSWER for the positions of a bucket that are decided, or that the bucket's other rows decide."""
     decided, ids, place, keys = unpack(group, words)
     decided |= _decided(np.flatnonzero(~decided), ids, place, keys, earliest)[1]
     take = np.flatnonzero(decided)
-    take = take[np.lexsort((place[take], ids[take]))]
-    ids, place = ids[take], place[take]
-    cuts = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1], [True]))) if len(ids) else np.zeros(1, int)
+    home = ids[take].astype(np.uint64) % np.uint64(n)
+    by = np.lexsort((place[take], ids[take], home))
+    take, home = take[by], home[by]
+    cuts = np.flatnonzero(np.concatenate(([True], home[1:] != home[:-1], [True]))) if len(take) else np.zeros(1, int)
+    rows = [_packed_ids(ids[take[a:b]], place[take[a:b]]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    return pa.table(
+        {"home": pa.array(home[cuts[:-1]].astype(np.int32)), **{k: pa.array([r[k] for r in rows], pa.binary()) for k in ("ids", "counts", "places")}}
+    )
+
+
+def merge(group: pa.Table) -> pa.Table:
+    """(id, places) of the answers that come home: one row an id."""
+    parts = [_unpacked_ids(row) for row in group.to_pylist()]
+    ids, place = (np.concatenate(x) for x in zip(*parts, strict=True))
+    by = np.lexsort((place, ids))
+    ids, place = ids[by], place[by]
+    cuts = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1], [True])))
     lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(place.astype(np.int32)))
     return pa.table({"id": pa.array(ids[cuts[:-1]], pa.int64()), "places": lists})

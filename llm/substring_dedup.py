@@ -117,9 +117,9 @@ def earlier_windows(docs: DataFrame, window: int = 20) -> DataFrame:
 
     def exchange(rows: DataFrame, key_words: int, earliest: bool) -> DataFrame:
         found = rows.groupBy("bucket").applyInArrow(
-            lambda group: packed.decide(group, key_words, earliest), "id long, places array<int>"
+            lambda group: packed.decide(group, key_words, earliest, n), packed.ANSWER
         )
-        return found.groupBy(F.col("id").alias("doc_id")).agg(F.flatten(F.collect_list("places")).alias("places"))
+        return found.groupBy("home").applyInArrow(packed.merge, "id long, places array<int>").withColumnRenamed("id", "doc_id")
 
     shared = exchange(keyed.mapInArrow(lambda b: _anchors(b, window, n), packed.PACKED), 1, False)
     around = keyed.join(shared, "doc_id").mapInArrow(lambda b: _windows(b, window, n), packed.PACKED)
