@@ -10,6 +10,7 @@ from llm import preferences
 from llm.decontamination import op8_decontamination
 from llm.fingerprints import op9_fingerprints
 from llm.language_id import op10_language_id
+from llm.minhash_dedup import op5_minhash_dedup
 from llm.mixing import op2_mix_sources
 from llm.preferences import op3_preference_format
 from llm.substring_dedup import op1_substring_dedup
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_substring_dedup,
         op2_mix_sources,
         op3_preference_format,
+        op5_minhash_dedup,
         op8_decontamination,
         op9_fingerprints,
         op10_language_id,

@@ -59,10 +59,6 @@ def buckets(df: DataFrame) -> int:
     return min(1 << 20, max(partitions(df.sparkSession), input_bytes(df) // BUCKET_BYTES))
 
 
-def has_rows(df: DataFrame) -> bool:
-    return not df.isEmpty()
-
-
 def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
     """(id, component) for every end of an edge; the component is the smallest id reachable.
 
@@ -72,12 +68,9 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     now = checkpointed(
         edges.select(F.greatest(left, right).alias("u"), F.least(left, right).alias("v")).where("u <> v").distinct()
     )
-    while True:
-        new = checkpointed(_small_star(_large_star(now)))
-        changed = new.join(now, ["u", "v"], "left_anti").limit(1).unionByName(now.join(new, ["u", "v"], "left_anti").limit(1))
-        now = new
-        if not has_rows(changed):
-            break
+    seen = None
+    while (state := _state(now)) != seen:
+        seen, now = state, checkpointed(_small_star(_large_star(now)))
     roots = now.groupBy("u").agg(F.min("v").alias("component"))
     return (
         roots.select(F.col("u").alias("id"), "component")
@@ -87,6 +80,12 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     )
 
 
+def _state(edges: DataFrame) -> tuple:
+    """Equal for equal sets of edges."""
+    both = F.xxhash64("u", "v")
+    return tuple(edges.agg(F.count("*"), F.bit_xor(both), F.bit_xor(F.xxhash64("v", "u")), F.min("v"), F.max("u")).first())
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked with the node's smallest neighbour, itself included."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
