@@ -13,7 +13,9 @@ from llm.language_id import op10_language_id
 from llm.minhash_dedup import op5_minhash_dedup
 from llm.mixing import op2_mix_sources
 from llm.preferences import op3_preference_format
+from llm.pseudonyms import op6_pii_pseudonyms
 from llm.substring_dedup import op1_substring_dedup
+from llm.token_output import op7_token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -22,6 +24,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_mix_sources,
         op3_preference_format,
         op5_minhash_dedup,
+        op6_pii_pseudonyms,
+        op7_token_output,
         op8_decontamination,
         op9_fingerprints,
         op10_language_id,
