@@ -6,16 +6,55 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from llm.decontamination import without_leaks
+from llm.language_id import keep_identified, train
+from llm.minhash_dedup import without_near_duplicates
+from llm.mixing import mix
+from llm.spark import table, written
+from llm.token_output import encoded
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the models find; those without letters, or unlike every language learned, go."""
+    return keep_identified(docs, train(docs))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest doc_id, of each group of near copies."""
+    return without_near_duplicates(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of `benchmark`."""
+    return without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as the mix takes them: some not at all, some up to three times."""
+    return mix(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as token files, read back: doc_id, start, n_tokens, ids_crc32."""
+    return encoded(docs)
+
+
 #: (name, function) of each stage; a function takes (spark, docs, sf_dir).
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+    ("tokens", tokens),
+]
 
 #: Language models, tokenizer output and near-duplicate components are not expressible in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows over all of `documents`."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """The last stage's rows over all of `documents`; each stage but the last is written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
