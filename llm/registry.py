@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import preferences
+from llm import line_dedup, preferences
 from llm.decontamination import op8_decontamination
 from llm.fingerprints import op9_fingerprints
 from llm.language_id import op10_language_id
+from llm.line_dedup import op4_line_dedup
 from llm.minhash_dedup import op5_minhash_dedup
 from llm.mixing import op2_mix_sources
 from llm.preferences import op3_preference_format
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_substring_dedup,
         op2_mix_sources,
         op3_preference_format,
+        op4_line_dedup,
         op5_minhash_dedup,
         op6_pii_pseudonyms,
         op7_token_output,
@@ -34,4 +36,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op3_preference_format": preferences.SQL,
+    "op4_line_dedup": line_dedup.SQL,
 }
