@@ -224,3 +224,31 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
 
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+SQL = r"""
+with recursive words as (
+  select doc_id, unnest(words) as word, generate_subscripts(words, 1) as pos, len(words) as size
+  from (select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x20\x09-\x0D]+') as words from documents)
+), runs as (
+  select doc_id, size, pos, count(*) over w as n, string_agg(word, ' ') over w as run from words
+  window w as (partition by doc_id order by pos rows between current row and 4 following)
+), sets as (
+  select distinct doc_id, run from runs where n = 5 or (size < 5 and pos = 1)
+), sizes as (
+  select doc_id, count(*) as n from sets group by doc_id
+), links as (
+  select a.doc_id as a, b.doc_id as b from sets a join sets b on a.run = b.run and a.doc_id < b.doc_id
+  join sizes m on m.doc_id = a.doc_id join sizes n on n.doc_id = b.doc_id
+  group by a.doc_id, b.doc_id, m.n, n.n having 100 * count(*) >= 75 * (m.n + n.n - count(*))
+), edges as (
+  select a, b from links union all select b, a from links
+), reach as (
+  select doc_id as a, doc_id as b from documents union select r.a, e.b from reach r join edges e on e.a = r.b
+), least as (
+  select a as doc_id, min(b) as component_id from reach group by a
+)
+select d.doc_id, coalesce(s.n, 0)::bigint as n_shingles, l.component_id, d.doc_id = l.component_id as kept
+from documents d join least l on l.doc_id = d.doc_id left join sizes s on s.doc_id = d.doc_id
+"""

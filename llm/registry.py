@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import line_dedup, preferences
+from llm import line_dedup, minhash_dedup, preferences, substring_dedup
 from llm.decontamination import op8_decontamination
 from llm.fingerprints import op9_fingerprints
 from llm.language_id import op10_language_id
@@ -35,6 +35,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_substring_dedup": substring_dedup.SQL,
     "op3_preference_format": preferences.SQL,
     "op4_line_dedup": line_dedup.SQL,
+    "op5_minhash_dedup": minhash_dedup.SQL,
 }

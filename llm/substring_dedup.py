@@ -143,3 +143,25 @@ def dedup(docs: DataFrame, window: int = 20, digest: bool = False) -> DataFrame:
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(table(spark, sf_dir, "documents"), digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
+SQL = r"""
+with words as (
+  select doc_id, unnest(words) as word, generate_subscripts(words, 1) as pos
+  from (select doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words from documents)
+), windows as (
+  select doc_id, pos, count(*) over w as n, string_agg(word, ' ') over w as run from words
+  window w as (partition by doc_id order by pos rows between current row and 19 following)
+), again as (
+  select doc_id, pos from (
+    select doc_id, pos, row_number() over (partition by run order by doc_id, pos) as nth from windows where n = 20)
+  where nth > 1
+), marked as (
+  select w.doc_id, w.pos, w.word, count(a.pos) over (
+    partition by w.doc_id order by w.pos rows between 19 preceding and current row) > 0 as gone
+  from words w left join again a on a.doc_id = w.doc_id and a.pos = w.pos
+)
+select d.doc_id, count(m.word)::bigint as n_words, (count(*) filter (where m.gone))::bigint as n_removed,
+  sha256(coalesce(string_agg(m.word, ' ' order by m.pos) filter (where not m.gone), '')) as kept_sha256
+from documents d left join marked m on m.doc_id = d.doc_id group by d.doc_id
+"""
