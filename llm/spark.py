@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of input a bucket of a packed exchange stands for.
 BUCKET_BYTES = 8 << 20
+#: The optimizer takes a table of unknown size for one of exabytes, or some share of that.
+UNKNOWN_BYTES = 1 << 55
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,8 +52,9 @@ def partitions(spark: SparkSession) -> int:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Size of `df` as the optimizer estimates it from its files."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Size of `df` as the optimizer estimates it from its files; where it cannot, from the number of partitions."""
+    known = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return known if known < UNKNOWN_BYTES else df.rdd.getNumPartitions() * (64 << 20)
 
 
 def buckets(df: DataFrame) -> int:
