@@ -6,10 +6,10 @@ from viewlake.operators.upsert import require_unique, upsert
 from viewlake.sources import storage
 from viewlake.sources.tables import (
     compact_table,
-    merge_delta,
     open_upserts,
     overwrite_table,
     read_table,
+    remove_superseded,
     table_exists,
     upsert_table,
 )
@@ -68,15 +68,29 @@ def test_table_life(spark, folder):
 def test_unfinished_writes_are_invisible_and_replaced(spark, folder):
     upsert_table(spark.createDataFrame([("a", 1)], SCHEMA), folder, ["k"])
     spark.createDataFrame([("z", 9)], SCHEMA).write.parquet(f"{folder}/upsert-0000000001")
-    storage.remove_folder(spark, f"{folder}/upsert-0000000001/_SUCCESS")
+    storage.remove_folder(spark, f"{folder}/upsert-0000000001/_committed")
     assert rows(read_table(spark, folder)[0]) == [("a", 1)]
     upsert_table(spark.createDataFrame([("b", 2)], SCHEMA), folder, ["k"])
     assert rows(read_table(spark, folder, ["k"])[0]) == [("a", 1), ("b", 2)]
 
 
-def test_delta_needs_its_package(spark, folder):
-    with pytest.raises(InputError):
-        merge_delta(spark.createDataFrame([("a", 1)], SCHEMA), folder, ["k"])
+def test_a_batch_with_repeated_keys_or_other_columns_is_refused(spark, folder):
+    upsert_table(spark.createDataFrame([("a", 1)], SCHEMA), folder, ["k"])
+    for batch, schema in (([("a", 2), ("a", 3)], SCHEMA), ([("b", 2, 3)], SCHEMA + ", w int")):
+        with pytest.raises(GateError):
+            upsert_table(spark.createDataFrame(batch, schema), folder, ["k"])
+    assert rows(read_table(spark, folder)[0]) == [("a", 1)]
+    with pytest.raises(GateError):
+        upsert_table(spark.createDataFrame([("a", 1), ("a", 2)], SCHEMA), f"{folder}/new", ["k"])
+    assert not table_exists(spark, f"{folder}/new")
+
+
+def test_superseded_commits_go_by_an_explicit_call(spark, folder):
+    for v in (1, 2):
+        upsert_table(spark.createDataFrame([("a", v)], SCHEMA), folder, ["k"])
+    compact_table(spark, folder, ["k"])
+    assert remove_superseded(spark, folder) == 2
+    assert rows(read_table(spark, folder)[0]) == [("a", 2)]
 
 
 def test_latest_per_key_orders_nulls_last_and_cuts_before_the_shuffle(spark):

@@ -32,7 +32,8 @@ def test_routing_and_report(spark, folder):
     assert (report["total_record_count"], report["valid_record_count"]) == (4, 2)
     assert (report["quarantined_record_count"], report["malformed_record_count"]) == (2, 1)
     assert report["error_counts"] == {"malformed_json": 1, "null_required_field": 1}
-    assert report["unknown_field_counts"] == {"new_field": 1}
+    drift = spark.read.parquet(report["unknown_field_counts_uri"]).collect()
+    assert [tuple(r) for r in drift] == [("new_field", 1)] and report["additive_drift_detected"]
     assert report["additive_drift_detected"]
     # Raw lines are the original text, without the line end.
     assert sorted(texts(spark, report["raw_s3_uri"])) == sorted([line(), odd])
@@ -62,7 +63,7 @@ def test_no_quarantine_without_failures_even_after_a_bad_attempt(spark, folder):
     report = run(spark, folder, [line()])
     assert report["quarantine_s3_uri"] is None
     assert not storage.exists(spark, first["quarantine_s3_uri"])
-    assert report["unknown_field_counts"] == {} and not report["additive_drift_detected"]
+    assert spark.read.parquet(report["unknown_field_counts_uri"]).isEmpty() and not report["additive_drift_detected"]
 
 
 def test_empty_input_still_writes_raw_and_report(spark, folder):
@@ -75,3 +76,10 @@ def test_every_issue_counts(spark, folder):
     report = run(spark, folder, [line(ip=..., country=...)] * 3)
     assert report["error_counts"] == {"missing_required_field": 6}
     assert report["quarantined_record_count"] == 3
+
+
+def test_any_number_of_drift_paths_is_counted(spark, folder):
+    report = run(spark, folder, [line(**{f"extra_{i}": 1 for i in range(10_001)}), line(extra_0=2)])
+    counts = spark.read.parquet(report["unknown_field_counts_uri"])
+    assert counts.count() == 10_001
+    assert counts.filter("path = 'extra_0'").first()["record_count"] == 2

@@ -18,8 +18,3 @@ def completion_band(share: Column) -> Column:
     for upper, label in BANDS:
         band = band.when(share <= upper, F.lit(label))
     return band
-
-
-def view_weighted(share: Column, views: Column) -> Column:
-    """Sum of views x share over the sum of views; a missing share still has views."""
-    return F.try_divide(F.coalesce(F.sum(share * views), F.lit(0.0)), F.sum(views))

@@ -29,15 +29,12 @@ from viewlake.sources.landing import (
 from viewlake.sources.reports import validated_input
 from viewlake.sources.tables import (
     compact_table,
-    open_upserts,
     overwrite_table,
+    remove_superseded,
     read_table,
     upsert_table,
 )
 
-# An upsert adds one small batch to a table; after this many they are folded in.
-COMPACT_AFTER = 32
-
 
 @dataclass(frozen=True)
 class Layout:
@@ -158,12 +155,18 @@ def refine_raw(
 
 
 def load_table(rows: DataFrame, layout: Layout, table: RefinedTable) -> int:
-    """Upsert, and fold the collected batches now and then."""
+    return upsert_table(rows, layout.table(table.name), table.keys)
+
+
+def maintain(spark: SparkSession, layout: Layout, table: RefinedTable) -> int:
+    """Fold a table's upserts into one full commit and remove what it replaces; returns its rows.
+
+    Never part of a load: call it when no reader holds an earlier version.
+    """
     root = layout.table(table.name)
-    written = upsert_table(rows, root, table.keys)
-    if open_upserts(rows.sparkSession, root) > COMPACT_AFTER:
-        compact_table(rows.sparkSession, root, table.keys)
-    return written
+    rows = compact_table(spark, root, table.keys)
+    remove_superseded(spark, root)
+    return rows
 
 
 def curate(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from viewlake.functions.engagement import HIGH_INTENT, completion_band, view_weighted
+from viewlake.functions.engagement import HIGH_INTENT, completion_band
 from viewlake.operators.gates import require_columns
 from viewlake.operators.latest import latest_per_key
 

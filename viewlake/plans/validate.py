@@ -11,15 +11,11 @@ from pyspark.sql import functions as F
 from viewlake.functions import contract as C
 from viewlake.functions.rules import check_lines
 from viewlake.operators.lines import number_lines
-from viewlake.session import new_folder, spread
+from viewlake.session import new_folder
 from viewlake.sources import storage
 from viewlake.sources.landing import landing_lines, read_manifest, utc_text
 from viewlake.sources.reports import write_report
 
-# Drift paths come from the data, so their number has no bound. Reports list up to this
-# many; the full counts are always in the table the report names.
-REPORT_PATHS = 10_000
-
 LAYERS = ("raw", "quarantine", "drift")
 
 
@@ -117,10 +113,13 @@ def unknown_field_counts(checked: DataFrame) -> DataFrame:
     return paths.groupBy("path").agg(F.count("*").alias("record_count"))
 
 
-def numbered_and_checked(lines: DataFrame) -> DataFrame:
-    """Line numbers and verdicts for lines with their address (see ``landing_lines``)."""
+def numbered_and_checked(lines: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Line numbers and verdicts for lines with their address (see ``landing_lines``).
+
+    ``partitions`` deals the lines out anew, for files of other writers that are large and cannot be split.
+    """
     numbered = number_lines(lines, new_folder(lines.sparkSession, "blocks"))
-    return check_lines(spread(numbered, lines))
+    return check_lines(numbered.repartition(partitions) if partitions else numbered)
 
 
 def write_layers(checked: DataFrame, run: ValidationRun) -> dict[str, int]:
@@ -145,12 +144,13 @@ def write_layers(checked: DataFrame, run: ValidationRun) -> dict[str, int]:
     return {name: value or 0 for name, value in counts.get.items()}
 
 
-def drift_table(spark: SparkSession, run: ValidationRun) -> tuple[DataFrame | None, str]:
-    """Records per unknown path, written next to the report; None without drift."""
+def drift_table(spark: SparkSession, run: ValidationRun) -> tuple[DataFrame, str]:
+    """Records per unknown path, written next to the report, also if there are none.
+
+    Paths come from the data, so their number has no bound: they never pass through the driver.
+    """
     path = f"{run.root}_drift/{run.partition}"
-    if not storage.exists(spark, run.layer("drift")):
-        storage.remove_folder(spark, path)
-        return None, path
+    storage.make_folder(spark, run.layer("drift"))
     found = spark.read.schema("path string").json(run.layer("drift"))
     counts = found.groupBy("path").agg(F.count("*").alias("record_count"))
     counts.write.mode("overwrite").parquet(path)
@@ -181,11 +181,9 @@ def finish_report(
     job_name: str,
 ) -> dict:
     drift, drift_uri = drift_table(spark, run)
-    paths = drift.limit(REPORT_PATHS + 1).collect() if drift is not None else []
-    listed = {r["path"]: r["record_count"] for r in sorted(paths)}
     report_uri = f"{run.root}_reports/{run.partition}"
     report = {
-        "additive_drift_detected": bool(paths),
+        "additive_drift_detected": not drift.isEmpty(),
         "contract_version": C.CONTRACT_VERSION,
         "error_counts": {code: counts[code] for code in sorted(C.CODES) if counts[code]},
         "ingestion_manifest_uri": manifest_uri,
@@ -198,8 +196,7 @@ def finish_report(
         "raw_s3_uri": run.layer("raw"),
         "report_s3_uri": report_uri,
         "total_record_count": counts["total"],
-        "unknown_field_counts": listed if len(paths) <= REPORT_PATHS else None,
-        "unknown_field_counts_uri": drift_uri if drift is not None else None,
+        "unknown_field_counts_uri": drift_uri,
         "valid_record_count": counts["valid"],
         "validated_at": utc_text(run.validated_at),
     }

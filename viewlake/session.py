@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewlake.errors import InputError
-
 RUNTIME_CONF = {
     # Fact dates are UTC dates, whatever the cluster's own zone is.
     "spark.sql.session.timeZone": "UTC",
@@ -25,8 +22,6 @@ RUNTIME_CONF = {
     "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
-_local_folders: dict[str, str] = {}
-
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
@@ -42,19 +37,9 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local-mode session without that setting gets a temporary folder.
-    """
+    """Folder all executors can reach: ``spark.checkpoint.dir``, else one in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise InputError("Set spark.checkpoint.dir to a folder shared by all executors.")
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="viewlake-")
-    return _local_folders[context.applicationId]
+    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work").rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -66,13 +51,3 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as Parquet and read it back: one evaluation, no long lineage."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, scan: DataFrame) -> DataFrame:
-    """Repartition ``df`` when the scan it comes from has fewer tasks than there are cores.
-
-    A few large gzip files cannot be split, yet the work after reading them can. Asking a
-    bare scan for its partitions runs nothing.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if scan.rdd.getNumPartitions() < cores else df

@@ -16,8 +16,8 @@ REPORT_SCHEMA = """
     ingestion_run_id string, input_s3_uris array<string>, job_name string,
     malformed_record_count bigint, quarantine_s3_uri string,
     quarantined_record_count bigint, raw_s3_uri string, report_s3_uri string,
-    total_record_count bigint, unknown_field_counts map<string,bigint>,
-    unknown_field_counts_uri string, valid_record_count bigint, validated_at string
+    total_record_count bigint, unknown_field_counts_uri string,
+    valid_record_count bigint, validated_at string
 """
 REPORT_FIELDS = [part.split()[0] for part in REPORT_SCHEMA.replace("\n", " ").split(", ")]
 

@@ -20,6 +20,12 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(target)
 
 
+def make_file(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    fs, target = _open(spark, path)
+    fs.create(target, True).close()
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     fs, target = _open(spark, path)
     fs.delete(target, True)

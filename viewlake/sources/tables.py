@@ -1,9 +1,9 @@
-"""Versioned tables on plain Parquet, or on Delta where its package is present.
+"""Versioned tables on plain Parquet.
 
 A table folder holds one sub-folder per commit: ``full-<n>`` replaces everything before
-it, ``upsert-<n>`` holds the rows of one keyed upsert. A commit counts once Spark has
-put its ``_SUCCESS`` file there, so readers never see half a write and a failed write
-leaves the table as it was. An upsert costs what its batch costs; readers fold the
+it, ``upsert-<n>`` holds the rows of one keyed upsert. A commit counts once its
+``_committed`` file is there, which is written after the data has been checked: readers
+never see half a write, and a failed or refused write leaves the table as it was. An upsert costs what its batch costs; readers fold the
 batches into the last full commit with one anti join.
 
 One writer per table at a time.
@@ -17,15 +17,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewlake.errors import InputError
+from viewlake.errors import GateError, InputError
 from viewlake.operators.latest import latest_per_key
-from viewlake.operators.upsert import upsert
+from viewlake.operators.upsert import require_unique, upsert
 from viewlake.sources import storage
 
-try:
-    from delta.tables import DeltaTable
-except ImportError:
-    DeltaTable = None
+
+MARKER = "_committed"
 
 
 @dataclass(frozen=True)
@@ -37,7 +35,7 @@ class _Commit:
 
 def _commits(spark: SparkSession, root: str) -> list[_Commit]:
     found = []
-    for marker in storage.matching(spark, f"{root}/*-*/_SUCCESS"):
+    for marker in storage.matching(spark, f"{root}/*-*/{MARKER}"):
         path = marker.rpartition("/")[0]
         kind, _, number = path.rpartition("/")[2].partition("-")
         found.append(_Commit(int(number), kind, path))
@@ -64,22 +62,43 @@ def _rows(spark: SparkSession, commit: _Commit) -> int:
 
 def overwrite_table(df: DataFrame, root: str) -> int:
     """Replace content and schema in one commit, also by zero rows."""
-    return _rows(df.sparkSession, _write(df, root, "full"))
+    commit = _write(df, root, "full")
+    storage.make_file(df.sparkSession, f"{commit.path}/{MARKER}")
+    return _rows(df.sparkSession, commit)
 
 
 def upsert_table(source: DataFrame, root: str, keys: Sequence[str]) -> int:
     """Insert new keys and replace matching rows; an empty source changes nothing.
 
-    Source keys are unique (see ``require_unique``); the refined plans guarantee it.
+    A key that the source holds twice, or columns other than the table's, refuse the batch
+    as a whole: it is checked as it was written, before it counts.
     """
     spark = source.sparkSession
-    commit = _write(source, root, "upsert" if table_exists(spark, root) else "full")
-    rows = _rows(spark, commit)
-    if rows == 0:
-        storage.remove_folder(spark, commit.path)
+    done = _commits(spark, root)
+    commit = _write(source, root, "upsert" if done else "full")
+    batch = spark.read.parquet(commit.path)
+    rows = batch.count()
+    try:
+        if done:
+            _require_schema(batch, spark.read.parquet(done[-1].path), root)
+        require_unique(batch, keys, f"The batch for {root}")
+    except GateError:
+        rows = 0
+        raise
+    finally:
+        if rows:
+            storage.make_file(spark, f"{commit.path}/{MARKER}")
+        else:
+            storage.remove_folder(spark, commit.path)
     return rows
 
 
+def _require_schema(batch: DataFrame, table: DataFrame, root: str) -> None:
+    if sorted(batch.dtypes) != sorted(table.dtypes):
+        odd = sorted(set(batch.dtypes) ^ set(table.dtypes))
+        raise GateError(f"The batch for {root} differs in: {odd}.")
+
+
 def read_table(
     spark: SparkSession, root: str, keys: Sequence[str] = ()
 ) -> tuple[DataFrame, int]:
@@ -122,19 +141,10 @@ def compact_table(spark: SparkSession, root: str, keys: Sequence[str]) -> int:
     return overwrite_table(table, root)
 
 
-def merge_delta(source: DataFrame, root: str, keys: Sequence[str]) -> None:
-    """The same upsert as a Delta MERGE."""
-    if DeltaTable is None:
-        raise InputError("The delta package is not installed.")
-    spark = source.sparkSession
-    if not DeltaTable.isDeltaTable(spark, root):
-        source.write.format("delta").mode("overwrite").save(root)
-        return
-    match = " AND ".join(f"target.`{k}` = source.`{k}`" for k in keys)
-    merge = DeltaTable.forPath(spark, root).alias("target").merge(source.alias("source"), match)
-    merge.whenMatchedUpdateAll().whenNotMatchedInsertAll().execute()
-
-
-def overwrite_delta(df: DataFrame, root: str) -> None:
-    """The same replacement on Delta, with schema change."""
-    df.write.format("delta").mode("overwrite").option("overwriteSchema", "true").save(root)
+def remove_superseded(spark: SparkSession, root: str) -> int:
+    """Remove the commits before the last full one; returns how many."""
+    commits = _commits(spark, root)
+    last = max((i for i, c in enumerate(commits) if c.kind == "full"), default=0)
+    for commit in commits[:last]:
+        storage.remove_folder(spark, commit.path)
+    return last

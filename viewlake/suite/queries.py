@@ -21,7 +21,7 @@ from viewlake.plans import validate as checks
 from viewlake.plans.curate import visitor_engagement, with_audit
 from viewlake.plans.dashboard import load_dashboard
 from viewlake.plans.runs import Layout
-from viewlake.session import configure, new_folder, spread
+from viewlake.session import configure, new_folder
 from viewlake.sources import ledger as L
 from viewlake.sources.landing import (
     Extraction,
@@ -246,13 +246,14 @@ def validation_report(spark, sf_dir):
     sections = {
         "records": totals,
         "errors": F.col("error_counts"),
-        "drift": F.col("unknown_field_counts"),
     }
+    drift = spark.read.parquet(report["unknown_field_counts_uri"])
     parts = [
         doc.select(F.lit(name).alias("section"), F.explode(m).alias("name", "records"))
         for name, m in sections.items()
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    named = drift.select(F.lit("drift").alias("section"), F.col("path").alias("name"), F.col("record_count").alias("records"))
+    return parts[0].unionByName(parts[1]).unionByName(named)
 
 
 def _upserted(spark, sf_dir, build, keys):
@@ -524,7 +525,8 @@ def zero_valid_noop(spark, sf_dir):
 
 def _checked(spark, sf_dir):
     lines = B.faulty_lines(spark, sf_dir)
-    return check_lines(spread(lines, B.table(spark, sf_dir, "events")))
+    # the events are one file: deal its lines out before the checks
+    return check_lines(lines.repartition(spark.sparkContext.defaultParallelism))
 
 
 def _issues(spark, sf_dir, code, *fields):
