@@ -11,7 +11,7 @@ from viewlake.suite import oracle, queries
 
 SF = "/root/testdata/sf0.001"
 LONG = {
-    "scan_landing_lines", "line_lineage", "scan_raw_events", "route_valid", "manifest_sources",
+    "scan_landing_lines", "line_lineage", "scan_raw_events", "route_valid",
     "replay_idempotent", "stream_incremental", "table_row_counts",
 }
 

@@ -20,10 +20,14 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     return kept.select(*source.columns).unionByName(source)
 
 
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``(*keys, count)`` of the non-null keys that occur more than once."""
+    return df.select(*keys).na.drop("any").groupBy(*keys).count().filter(F.col("count") > 1)
+
+
 def require_unique(df: DataFrame, keys: Sequence[str], name: str) -> None:
     """Fail when a non-null key occurs twice, as a merge into a table would."""
-    keyed = df.select(*keys).na.drop("any")
-    repeated = keyed.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
+    repeated = repeated_keys(df, keys).limit(1).collect()
     if repeated:
         example = ", ".join(f"{k}={repeated[0][k]!r}" for k in keys)
         raise GateError(f"{name} has several rows for {example}.")

@@ -14,9 +14,9 @@ wire as (
          value / cast(100 as double) percent_viewed,
          concat('10.0.', cast(user_id % 256 as varchar), '.', cast(k as varchar)) ip,
          n.n_name country, k, event_id
-  from b join part p on p.p_partkey = k
-         join customer c on c.c_custkey = user_id
-         join nation n on n.n_nationkey = c.c_nationkey),
+  from b left join part p on p.p_partkey = k
+         left join customer c on c.c_custkey = user_id
+         left join nation n on n.n_nationkey = c.c_nationkey),
 good as (select * from wire where percent_viewed between 0 and 1)
 """
 
@@ -206,9 +206,13 @@ def oracle_sql() -> dict[str, str]:
               cast(ceil(count(w.event_key) / 100.0) as bigint) page_count, 'succeeded' status
             from wanted left join w on w.media_id = wanted.media_id
             group by position, wanted.media_id""",
-        "manifest_sources": f"""with {_WIRE}, n as (select count(*) >= 0 known from wire)
-            select position, concat('run_id=run-0001/media_id=', media_id) folder
-            from n, (values (0, 'm3'), (1, 'm0'), (2, 'm7')) v(position, media_id)""",
+        "manifest_sources": """select day, cast(row_number() over (partition by day
+              order by event_type) - 1 as int) as position,
+            case when event_type not in ('purchase', 'error')
+              then concat('s3://lake/', day, '/', event_type) end s3_uri
+            from (select distinct strftime(ts, '%Y-%m-%d') as day, event_type from events)""",
+        "upsert_duplicate_gate": """select l_orderkey, l_linenumber, count(*) as "count"
+            from lineitem group by 1, 2 having count(*) > 1""",
         "route_valid": f"""with {_FAULTS} select event_key, media_id, percent_viewed, country
             from verdict where issue_count = 0""",
         "route_quarantine": f"""with {_FAULTS}
@@ -322,9 +326,16 @@ def oracle_sql() -> dict[str, str]:
             from issue group by code""",
         "unknown_field_counts": f"""with {_FAULTS} select path, count(*) record_count
             from drift group by path""",
-        "pipeline_freshness": f"""with {_WIRE}
-            select date '2024-01-31' data_through_date, '2024-02-01 06:30:00' pipeline_refreshed_at,
-              'run-0001' ingestion_run_id from good having count(*) > 0""",
+        "pipeline_freshness": """with audit as (
+              select case when event_type <> 'view' then cast(ts as date) end as through,
+                case when event_type <> 'click' then ts + interval 390 minutes end as refreshed,
+                case when event_type <> 'error' then concat('run-', strftime(ts, '%Y%m%d')) end as run
+              from events)
+            select max(through) data_through_date,
+              strftime(max(refreshed), '%Y-%m-%d %H:%M:%S') pipeline_refreshed_at,
+              (select run from audit where run is not null
+               order by refreshed desc nulls last, run desc limit 1) ingestion_run_id
+            from audit""",
         "table_row_counts": f"""with {_WIRE}
             select 'dim_media' table_name, count(distinct media_id) row_count from good
             union all select 'dim_visitors', count(distinct visitor_key) from good

@@ -15,7 +15,7 @@ from viewlake.operators import gates
 from viewlake.operators.filters import by_date_overlap, by_membership
 from viewlake.operators.latest import latest_per_key
 from viewlake.operators.lines import number_lines
-from viewlake.operators.upsert import upsert
+from viewlake.operators.upsert import repeated_keys, upsert
 from viewlake.plans import refine, runs, serve
 from viewlake.plans import validate as checks
 from viewlake.plans.curate import visitor_engagement, with_audit
@@ -29,7 +29,6 @@ from viewlake.sources.landing import (
     landing_lines,
     manifest_sources,
     raw_events,
-    read_json_object,
     read_manifest,
     write_landing,
     write_manifest,
@@ -192,13 +191,20 @@ def run_manifest(spark, sf_dir):
 
 
 @named("manifest_sources")
-def landed_sources(spark, sf_dir):
-    layout = _layout(spark, "sources")
-    manifest = runs.land(spark, layout, B.plain_events(spark, sf_dir), WANTED, _extraction(*WINDOW))
-    found = manifest_sources(read_json_object(spark, manifest))
-    return found.select(
-        "position", F.regexp_extract("s3_uri", "(run_id=[^/]+/media_id=[^/]+)$", 1).alias("folder")
+def _manifest_sources(spark, sf_dir):
+    """One manifest document a day, with a result for each event type of the day, some of them broken."""
+    kind = F.col("event_type")
+    day = F.date_format("ts", "yyyy-MM-dd").alias("day")
+    kinds = B.table(spark, sf_dir, "events").groupBy(day, "event_type").agg(F.count("*").alias("n"))
+    uri = (
+        F.when(kind == "purchase", F.col("n").cast("string"))
+        .when(kind == "error", "null")
+        .otherwise(F.concat(F.lit('"s3://lake/'), "day", F.lit("/"), kind, F.lit('"')))
     )
+    entry = F.concat(F.lit('{"s3_uri":'), uri, F.lit("}"))
+    days = kinds.groupBy("day").agg(F.sort_array(F.collect_list(F.struct("event_type", entry.alias("text")))).alias("e"))
+    text = F.concat(F.lit('{"results":['), F.array_join(F.col("e")["text"], ","), F.lit("]}"))
+    return manifest_sources(days.select("day", F.parse_json(text).alias("doc")), "day")
 
 
 @query
@@ -649,14 +655,24 @@ def unknown_field_counts(spark, sf_dir):
 
 @query
 def pipeline_freshness(spark, sf_dir):
-    rows = with_audit(
-        B.model(spark, sf_dir).engagement, B.LAST_DAY, EXTRACTED_AT, RUN_ID
+    """Audit columns that differ from row to row, each of them missing in some."""
+    kind = F.col("event_type")
+    rows = B.table(spark, sf_dir, "events").select(
+        F.when(kind != "view", F.to_date("ts")).alias("data_through_date"),
+        F.when(kind != "click", F.col("ts") + F.expr("interval 390 minutes")).alias("pipeline_refreshed_at"),
+        F.when(kind != "error", F.concat(F.lit("run-"), F.date_format("ts", "yyyyMMdd"))).alias("ingestion_run_id"),
     )
-    refreshed = F.date_format("pipeline_refreshed_at", "yyyy-MM-dd HH:mm:ss")
     found = serve.pipeline_freshness(rows)
+    refreshed = F.date_format("pipeline_refreshed_at", "yyyy-MM-dd HH:mm:ss")
     return found.withColumn("pipeline_refreshed_at", refreshed)
 
 
+@query
+def upsert_duplicate_gate(spark, sf_dir):
+    """The keys that would refuse an upsert of the raw line items."""
+    return repeated_keys(B.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
 @query
 def table_row_counts(spark, sf_dir):
     layout = _layout(spark, "counts")
