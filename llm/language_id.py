@@ -216,10 +216,11 @@ def entropies(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def predict(model: Model, texts: pa.Array) -> dict[str, np.ndarray]:
     """lang_pred, score, entropy and rejected of each text."""
-    h, n = entropies(model, texts)
-    known = n > 0 if len(model.langs) else np.zeros(len(texts), dtype=bool)
     if not len(model.langs):
-        return {"lang_pred": np.full(len(texts), UNKNOWN, object), "score": np.zeros(len(texts)), "entropy": np.zeros(len(texts)), "rejected": ~known}
+        none = np.zeros(len(texts))
+        return {"lang_pred": np.full(len(texts), UNKNOWN, object), "score": none, "entropy": none, "rejected": none == 0}
+    h, n = entropies(model, texts)
+    known = n > 0
     best = h.argmin(axis=1)
     low = h.min(axis=1)
     score = 1 / np.exp(np.maximum(model.sharpness * (low[:, None] - h), -700)).sum(axis=1)
@@ -287,11 +288,10 @@ def _calibrate(model: Model, rows: list) -> None:
     label = np.array([model.langs.index(r["lang"]) for r in rows])
     own = h[np.arange(len(h)), label] - LEEWAY / np.sqrt(n)
     for j in range(len(model.langs)):
-        if (label == j).sum() >= 20:
-            mine = own[label == j]
-            high, middle = np.quantile(mine, 1 - FALSE_REJECT), np.median(mine)
-            # never below halfway from the language's median to an even draw of symbols
-            model.limits[j] = max(2 * high - middle, (middle + np.log(len(model.grams[0]) + 1)) / 2)
+        mine = own[label == j] if (label == j).sum() >= 20 else own  # too few rows: those of all languages
+        high, middle = np.quantile(mine, 1 - FALSE_REJECT), np.median(mine)
+        # never below halfway from the median to an even draw of symbols
+        model.limits[j] = max(2 * high - middle, (middle + np.log(len(model.grams[0]) + 1)) / 2)
     best = -np.inf
     for s in (1.0, 2.0, 5.0, 10.0, 20.0, 50.0, 100.0):
         z = -s * (h - h.min(axis=1, keepdims=True))
