@@ -34,7 +34,7 @@ def n_words(text: Column) -> Column:
 class Plan:
     sources: DataFrame  # source, source_size, weight, target
     bits: int  # bits of the shuffle key that name a range
-    offsets: DataFrame  # source, range, before: words of the source in earlier ranges
+    offsets: DataFrame  # of each source and range: `before`, the source's words in earlier ranges, and its row of sources
     cut: float  # last virtual finish time that the mix takes
 
 
@@ -48,15 +48,12 @@ def _range(bits: int) -> Column:
 
 def _queued(rows: DataFrame, plan: Plan) -> DataFrame:
     """rows(doc_id, source, size, draw) with source_size, weight, target and `upto`, the source's words up to here."""
-    known = ["source", "source_size", "weight", "target"]
     keyed = rows.withColumn("range", _range(plan.bits))
-    near = plan.offsets.select(F.col("source").alias("_s"), F.col("range").alias("_r"), "before")
-    about = plan.sources.select(F.col("source").alias("_t"), *known[1:])
-    keyed = keyed.join(near, F.col("source").eqNullSafe(F.col("_s")) & (F.col("range") == F.col("_r"))).join(
-        about, F.col("source").eqNullSafe(F.col("_t"))
-    )
+    # one join by source and range, so that a large source is dealt out by range
+    about = plan.offsets.select(F.col("source").alias("_s"), F.col("range").alias("_r"), "before", "source_size", "weight", "target")
+    keyed = keyed.join(about, F.col("source").eqNullSafe(F.col("_s")) & (F.col("range") == F.col("_r")))
     order = Window.partitionBy("source", "range").orderBy("draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    return keyed.withColumn("upto", F.col("before") + F.sum("size").over(order)).drop("range", "before", "_s", "_r", "_t")
+    return keyed.withColumn("upto", F.col("before") + F.sum("size").over(order)).drop("range", "before", "_s", "_r")
 
 
 def _finish(number: Column) -> Column:
@@ -112,7 +109,8 @@ def plan_mix(
     sums = sized.withColumn("range", _range(bits)).groupBy("source", "range").agg(F.sum("size").alias("n"))
     # one row for each range of a source
     before = F.sum("n").over(Window.partitionBy("source").orderBy("range")) - F.col("n")
-    offsets = checkpointed(sums.select("source", "range", before.alias("before")))
+    sums = sums.select(F.col("source").alias("_s"), "range", before.alias("before"))
+    offsets = checkpointed(sums.join(sources, F.col("source").eqNullSafe(F.col("_s"))).drop("_s"))
     plan = Plan(sources, bits, offsets, math.inf)
     if not budget or not level:
         return plan
