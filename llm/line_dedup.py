@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.spark import WORD, sha256_hex, table
+from llm.spark import WORD, sha256_hex, table, written
 
 #: Lines match if their word sets have at least this Jaccard similarity, in percent.
 PERCENT = 80
@@ -108,7 +108,8 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     all. Other columns are left aside; an empty table gives no rows.
     """
     keyed = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "text")
-    classes = _classes(keyed, _counters(keyed), percent)
+    # read twice, with and without prefixes: written once, as the words of all texts went into it
+    classes = written(_classes(keyed, _counters(keyed), percent), "lines")
     gone = _verified(keyed, _candidates(classes, percent), percent)
     stays = classes.select("doc_id", "line").join(gone, ["doc_id", "line"], "left_anti").groupBy("doc_id").agg(F.collect_list("line").alias("stays"))
     lines = keyed.join(stays, "doc_id", "left").select(
