@@ -71,11 +71,12 @@ def with_codes(df: DataFrame, text: str, name: str) -> DataFrame:
         ranked = F.array_min(F.transform("_m", lambda m: F.struct(_priority(b, _bin(m)).alias("p"), m.alias("m"))))["m"]
         return F.coalesce(x, *tries, ranked).bitwiseAND(F.lit((1 << NIBBLE) - 1))
 
-    step = step.withColumn("_d", F.transform("_d", dense))
-    pack = lambda i: F.aggregate(
-        F.slice("_d", i * _PER_LONG + 1, _PER_LONG), F.lit(0).cast("bigint"), lambda a, x: F.shiftleft(a, NIBBLE).bitwiseOR(x)
+    pack = lambda d: F.transform(
+        F.sequence(F.lit(0), F.lit(BINS // _PER_LONG - 1)),
+        lambda i: F.aggregate(F.slice(d, i * _PER_LONG + 1, _PER_LONG), F.lit(0).cast("bigint"), lambda a, x: F.shiftleft(a, NIBBLE).bitwiseOR(x)),
     )
-    packed = F.transform(F.sequence(F.lit(0), F.lit(BINS // _PER_LONG - 1)), pack)
+    # a lambda variable holds the filled bins, which would else be computed for every long
+    packed = F.transform(F.array(F.transform("_d", dense)), pack)[0]
     code = F.when(F.size("_m") > 0, packed).otherwise(F.array().cast("array<bigint>"))
     return step.withColumn(name, code).drop("_w", "_m", "_d")
 
