@@ -184,7 +184,8 @@ def leaks(items: Items, texts: pa.Array, max_edits: float) -> Iterator[tuple[int
             own = items.tokens[item]
             k = int(max_edits * len(own))
             text = int(row[seen])
-            if done.get((text, item), -1) >= begin:
+            reached = done.get((text, item))
+            if reached is not None and reached >= begin:  # begin is negative where the first text lacks an item's first words
                 continue  # the window verified last reaches as far
             low = max(begin - k, int(ends[text] - per[text]))
             high = min(begin + len(own) + 2 * k + 1, int(ends[text]))

@@ -68,6 +68,15 @@ def test_edges(spark, monkeypatch):
     assert find_leaks(docs, none).collect() == [] and without_leaks(docs, none).count() == len(corpus.edge_rows())
 
 
+def test_an_item_without_its_first_words_is_found_in_every_row():
+    passage = [f"w{i}" for i in range(40)]
+    items = prepare([7], [" ".join(passage)])
+    for cut in range(int(MAX_EDITS * len(passage)) + 1):
+        text = " ".join([*passage[cut:], "and", "more"])
+        found = list(leaks(items, pa.array([text, "none of it", text]), MAX_EDITS))
+        assert found == [(row, 0, cut, 0, 40 - cut) for row in (0, 2)]
+
+
 def test_words_are_those_of_the_docstring():
     texts = ["A,b  c-D\x0beé 中!", None, "", "..."]
     per, hashes = word_hashes(pa.array(texts))
