@@ -1,8 +1,9 @@
 """Language identification with interpolated Kneser-Ney character models.
 
 Each language has a character model of order ORDER inside words; a word's ends count as a boundary symbol and no history
-crosses it. Counts come from a bounded sample of labelled rows. The models are kept together as sorted hash arrays, one
-row of log probabilities (one column per language) for each n-gram and one of log back-off weights for each history.
+crosses it. Counts come from a bounded sample of labelled rows, and every n-gram of it is in the model, which so grows
+with the sample and with nothing else. Each language has its own sorted hash arrays, with the log probabilities of its
+n-grams and the log back-off weights of its histories.
 A text gets the language of the lowest cross-entropy per symbol; it is rejected if that entropy lies above what texts of
 the language have, as measured on sampled rows left out of the counts.
 """
@@ -19,27 +20,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm import words
-from llm.spark import table
+from llm.spark import table, written
 
 ORDER = 5
 #: Expected rows that a language gives to the sample; one in five of them calibrates.
 SAMPLE_DOCS = 2000
-#: Most n-grams (of all languages and orders) that a model holds; the most frequent stay.
-MAX_GRAMS = 1_500_000
 #: Share of a language's own texts that calibration lets go, and the leeway for short texts, in nats over sqrt(symbols).
 FALSE_REJECT, LEEWAY = 0.001, 4.0
 UNKNOWN = "und"
 _SPACE = 32
+#: How the arrays of a fitted language come back from its task.
+_ARRAYS = {"grams": np.uint64, "logp": np.float32, "histories": np.uint64, "backoff": np.float32}
+
+
+@dataclass
+class _Language:
+    """The model of one language, by order - 1."""
+
+    grams: list[np.ndarray] = field(default_factory=list)  # sorted hashes
+    logp: list[np.ndarray] = field(default_factory=list)
+    histories: list[np.ndarray] = field(default_factory=list)  # sorted hashes
+    backoff: list[np.ndarray] = field(default_factory=list)
+    floor: float = 0.0  # log probability of a symbol never seen
 
 
 @dataclass
 class Model:
     langs: list[str]
-    grams: list[np.ndarray] = field(default_factory=list)  # by order - 1: sorted hashes
-    logp: list[np.ndarray] = field(default_factory=list)  # (grams, languages)
-    histories: list[np.ndarray] = field(default_factory=list)
-    backoff: list[np.ndarray] = field(default_factory=list)
-    floor: np.ndarray | None = None  # log probability of a symbol never seen
+    fitted: list[_Language] = field(default_factory=list)  # by language
+    alphabet: int = 0  # distinct symbols of all languages
+    order: int = ORDER
     limits: np.ndarray | None = None  # entropy beyond which a text is rejected
     sharpness: float = 20.0
 
@@ -123,80 +133,73 @@ def _find(hashes: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(hashes[at] == keys, at, -1)
 
 
-def build(grams: pa.Table, langs: list[str], order: int = ORDER) -> Model:
-    """The models of (lang, n, gram, history, suffix, initial, c)."""
-    model = Model(langs)
-    lang = pc.index_in(grams["lang"].combine_chunks(), pa.array(langs)).to_numpy(zero_copy_only=False)
+def _fit(grams: pa.Table, alphabet: int, order: int) -> _Language:
+    """The model of one language's (n, gram, history, suffix, initial, c)."""
+    model = _Language(floor=-np.log(alphabet + 1.0))
     n = grams["n"].to_numpy()
     u64 = lambda name: grams[name].to_numpy().view(np.uint64)
     gram, history, suffix = u64("gram"), u64("history"), u64("suffix")
     initial, c = grams["initial"].to_numpy(), grams["c"].to_numpy().astype(np.float64)
     for k in range(1, order + 1):
-        here = np.flatnonzero(n == k)
-        union, first = np.unique(gram[here], return_index=True)
-        past = np.unique(history[here]) if k > 1 else np.zeros(1, np.uint64)
-        logp = np.full((len(union), len(langs)), -np.inf)
-        weight = np.zeros((len(past), len(langs)))  # log 1: a history that a language has not seen
-        of_union = history[here][first], suffix[here][first]
-        for j in range(len(langs)):
-            own = here[lang[here] == j]
-            e = c[own].copy()
-            if k < order:
-                above = np.flatnonzero((n == k + 1) & (lang == j))
-                kinds, times = np.unique(suffix[above], return_counts=True)
-                at = _find(kinds, gram[own])
-                follows = ~initial[own] & (at >= 0)
-                e[follows] = times[at[follows]]
-            if not len(own):
-                continue
-            n1, n2 = (e == 1).sum(), (e == 2).sum()
-            discount = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
-            where = _find(past, history[own]) if k > 1 else np.zeros(len(own), int)
-            total = np.bincount(where, weights=e, minlength=len(past))
-            kinds = np.bincount(where, minlength=len(past))
-            seen = total > 0
-            weight[seen, j] = np.log(discount * kinds[seen] / total[seen])
-            logp[_find(union, gram[own]), j] = np.log((e - discount) / total[where])
+        own = np.flatnonzero(n == k)
+        own = own[np.argsort(gram[own])]
+        e = c[own].copy()
+        if k < order:
+            kinds, times = np.unique(suffix[n == k + 1], return_counts=True)
+            at = _find(kinds, gram[own])
+            follows = ~initial[own] & (at >= 0)
+            e[follows] = times[at[follows]]
+        past, where = np.unique(history[own], return_inverse=True) if k > 1 else (np.zeros(1, np.uint64), np.zeros(len(own), int))
+        n1, n2 = (e == 1).sum(), (e == 2).sum()
+        discount = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
+        total = np.bincount(where, weights=e, minlength=len(past))
+        weight = np.zeros(len(past))  # log 1: nothing seen
+        seen = total > 0
+        weight[seen] = np.log(discount * np.bincount(where, minlength=len(past))[seen] / total[seen])
         if k == 1:
-            below = np.full((len(union), len(langs)), -np.log(len(union) + 1.0))
-            back = np.zeros(len(union), int)
-            model.floor = weight[0] - np.log(len(union) + 1.0)
+            below = np.full(len(own), model.floor)
+            model.floor += weight[0]
         else:
-            at = _find(model.grams[-1], of_union[1])
-            below = np.where((at >= 0)[:, None], model.logp[-1][at], model.floor)
-            back = _find(past, of_union[0])
-        logp = np.logaddexp(logp, weight[back] + below)
-        model.grams.append(union)
+            at = _find(model.grams[-1], suffix[own])
+            below = np.full(len(own), model.floor)
+            below[at >= 0] = model.logp[-1][at[at >= 0]]
+        logp = np.logaddexp(np.log((e - discount) / total[where]), weight[where] + below)
+        model.grams.append(gram[own])
         model.logp.append(logp.astype(np.float32))
         model.histories.append(past)
         model.backoff.append(weight.astype(np.float32))
     return model
 
 
+def build(grams: pa.Table, langs: list[str], order: int = ORDER) -> Model:
+    """The models of (lang, n, gram, history, suffix, initial, c)."""
+    alphabet = len(pc.unique(grams["gram"].filter(pc.equal(grams["n"], 1))))
+    return Model(langs, [_fit(grams.filter(pc.equal(grams["lang"], k)), alphabet, order) for k in langs], alphabet, order)
+
+
 def _log_probabilities(model: Model, s: _Symbols) -> tuple[np.ndarray, np.ndarray]:
     """Of each distinct word: log probability by language, and predicted symbols."""
-    order = len(model.grams)
     at = np.flatnonzero(s.scored)
-    depth = np.minimum(s.depth[at], order)
-    out = np.zeros((len(at), len(model.langs)), dtype=np.float32)
-    open_ = np.ones(len(at), dtype=bool)
-    before = None
-    for k in range(order, 0, -1):
-        now = _hashes(s.code, k)
-        rows = np.flatnonzero(open_ & (depth > k)) if before is not None else np.zeros(0, int)
-        if len(rows):  # not found one order higher: the weight of that history
-            where = _find(model.histories[k], now[at[rows] - 1])
-            known = where >= 0
-            out[rows[known]] += model.backoff[k][where[known]]
-        rows = np.flatnonzero(open_ & (depth >= k))
-        where = _find(model.grams[k - 1], now[at[rows]])
-        known = where >= 0
-        out[rows[known]] += model.logp[k - 1][where[known]]
-        open_[rows[known]] = False
-        before = now
-    out[open_] += model.floor.astype(np.float32)
+    depth = np.minimum(s.depth[at], model.order)
+    hashes = [_hashes(s.code, k) for k in range(1, model.order + 1)]
     n = int(s.owner.max()) + 1 if len(s.owner) else 0
-    sums = np.stack([np.bincount(s.owner[at], weights=out[:, j], minlength=n) for j in range(len(model.langs))], axis=1)
+    sums = np.zeros((n, len(model.langs)))
+    for j, own in enumerate(model.fitted):
+        out = np.zeros(len(at), dtype=np.float32)
+        open_ = np.arange(len(at))
+        for k in range(model.order, 0, -1):
+            if k < model.order:  # not found one order higher: the weight of that history
+                rows = open_[depth[open_] > k]
+                where = _find(own.histories[k], hashes[k - 1][at[rows] - 1])
+                out[rows[where >= 0]] += own.backoff[k][where[where >= 0]]
+            deep = depth[open_] >= k
+            rows = open_[deep]
+            where = _find(own.grams[k - 1], hashes[k - 1][at[rows]])
+            out[rows[where >= 0]] += own.logp[k - 1][where[where >= 0]]
+            deep[deep] = where >= 0
+            open_ = open_[~deep]
+        out[open_] += np.float32(own.floor)
+        sums[:, j] = np.bincount(s.owner[at], weights=out, minlength=n)
     return sums, np.bincount(s.owner[at], minlength=n)
 
 
@@ -252,7 +255,7 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, order: int = ORDER) -
     draw = (F.xxhash64("doc_id", F.lit("sample")) % 1_000_000 + 1_000_000) % 1_000_000 / 1_000_000
     taken = rows.where(draw < share[F.col("lang")])
     calibrates = F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(5)) == 0
-    grams = (
+    grams = written(
         taken.where(~calibrates)
         .select("text", "lang")
         .mapInArrow(
@@ -260,12 +263,36 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, order: int = ORDER) -
             "lang string, n int, gram long, history long, suffix long, initial boolean, c long",
         )
         .groupBy("lang", "n", "gram")
-        .agg(F.min("history").alias("history"), F.min("suffix").alias("suffix"), F.min("initial").alias("initial"), F.sum("c").alias("c"))
-        .orderBy(F.desc("c"), "lang", "n", "gram")
-        .limit(MAX_GRAMS)
-        .toArrow()
+        .agg(F.min("history").alias("history"), F.min("suffix").alias("suffix"), F.min("initial").alias("initial"), F.sum("c").alias("c")),
+        "grams",
     )
-    model = build(grams, langs, order)
+    alphabet = grams.where("n = 1").agg(F.count_distinct("gram")).first()[0]
+
+    def fit(group: pa.Table) -> pa.Table:
+        own = _fit(group, alphabet, order)
+        by_order = zip(own.grams, own.logp, own.histories, own.backoff, strict=True)
+        return pa.Table.from_pylist(
+            [
+                {"lang": group["lang"][0].as_py(), "n": k, "floor": float(own.floor), **{name: x.tobytes() for name, x in zip(_ARRAYS, found, strict=True)}}
+                for k, found in enumerate(by_order)
+            ],
+            pa.schema([("lang", pa.string()), ("n", pa.int32()), ("floor", pa.float64()), *((name, pa.binary()) for name in _ARRAYS)]),
+        )
+
+    # a language's part of the sample is one task; what comes back is the model alone
+    schema = "lang string, n int, floor double, " + ", ".join(f"{name} binary" for name in _ARRAYS)
+    model = Model(langs, [], alphabet, order)
+    found = {(r["lang"], r["n"]): r for r in grams.groupBy("lang").applyInArrow(fit, schema).collect()}
+    none = pa.table({k: pa.array([], t) for k, t in (("n", pa.int32()), *((k, pa.int64()) for k in ("gram", "history", "suffix", "c")), ("initial", pa.bool_()))})
+    for lang in langs:
+        if (lang, 0) not in found:  # no letter in its rows
+            model.fitted.append(_fit(none, alphabet, order))
+            continue
+        own = _Language(floor=found[lang, 0]["floor"])
+        for k in range(order):
+            for name, kind in _ARRAYS.items():
+                getattr(own, name).append(np.frombuffer(found[lang, k][name], dtype=kind))
+        model.fitted.append(own)
     model.limits = np.full(len(langs), np.inf)
 
     def measure(batches):
@@ -291,7 +318,7 @@ def _calibrate(model: Model, rows: list) -> None:
         mine = own[label == j] if (label == j).sum() >= 20 else own  # too few rows: those of all languages
         high, middle = np.quantile(mine, 1 - FALSE_REJECT), np.median(mine)
         # never below halfway from the median to an even draw of symbols
-        model.limits[j] = max(2 * high - middle, (middle + np.log(len(model.grams[0]) + 1)) / 2)
+        model.limits[j] = max(2 * high - middle, (middle + np.log(model.alphabet + 1)) / 2)
     best = -np.inf
     for s in (1.0, 2.0, 5.0, 10.0, 20.0, 50.0, 100.0):
         z = -s * (h - h.min(axis=1, keepdims=True))
@@ -307,7 +334,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     the first language by code point is taken. Rows that repeat give one row each; other columns are left aside.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # bounded by MAX_GRAMS
+    shared = spark.sparkContext.broadcast(model)  # bounded by the sample
 
     def run(batches):
         for batch in batches:

@@ -74,3 +74,17 @@ def test_edges(spark):
         assert keep_identified(docs, model).columns == docs.columns
         assert keep_identified(docs, model).count() == sum(not r.rejected for r in rows)
         assert identify(corpus.no_docs(spark), model).collect() == []
+
+
+def test_every_n_gram_of_the_sample_stays_whatever_other_languages_hold(spark):
+    rng = np.random.default_rng(4)
+    draw = lambda first, n, size: ["".join(map(chr, first + x)) for x in rng.integers(0, 26, (n, size))]
+    large = draw(97, 150_000, 20)
+    rare = draw(0x430, 40, 9)  # no run of five letters twice
+    rows = [(i, " ".join(large[i::300]), f"l{i % 3}") for i in range(300)] + [(i, rare[i - 300], "rare") for i in range(300, 340)]
+    model = train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    by = {lang: [len(g) for g in own.grams] for lang, own in zip(model.langs, model.fitted, strict=True)}
+    assert sum(map(sum, by.values())) > 1_500_000
+    counted = by["rare"][4] // 7  # nine letters between two boundaries have seven runs of five
+    assert counted >= 10 and by["rare"][4] == 7 * counted
+    assert predict(model, pa.array(rare))["lang_pred"].tolist() == ["rare"] * len(rare)
