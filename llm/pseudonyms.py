@@ -27,16 +27,29 @@ ROUNDS = 10
 EXAMPLE_KEY = b"example key, not a secret"
 _FIRST_DAY, _LAST_DAY = date(1900, 1, 1), date(2099, 12, 31)
 
-#: What may be personal, by kind; every match is validated before it is replaced. Earlier kinds go first.
+#: What may be personal, by kind; every match is validated before it is replaced. Earlier kinds go first. A network address
+#: may change its length, so no other value reaches into one.
 PATTERNS = {
     "email": r"(?<![\w.+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
-    "ip": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)",
-    "date": r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{2}([./-])\d{2}\1\d{4})(?!\w|[./-]\d)",
-    "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)|(?<![\w+])\+\d{8,15}(?!\w)",
-    "card": r"(?<![\w-])\d(?:[ -]?\d){12,18}(?!\w|-\d)",
+    "iban": r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w|(?:\.[0-9]{1,3}){3})",
+    "ip": r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\w|\.[0-9])",
+    "date": r"(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([./-])[0-9]{2}\1[0-9]{4})(?!\w|[./-][0-9])",
+    "ssn": r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
+    "phone": r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?!\w)"
+    r"|(?<![\w+])\+[0-9]{8,15}(?!\w)|(?<![\w+])\+[0-9]{1,3}(?:[ -][0-9]{1,12}){1,6}(?!\w|(?:\.[0-9]{1,3}){3})",
+    "card": r"(?<![\w-])[0-9](?:[ -]?[0-9]){12,18}(?!\w|(?:\.[0-9]{1,3}){3})"
+    r"|(?<![\w-])[0-9]{4}(?:(?:\.[0-9]{4}){3}|(?:/[0-9]{4}){3}|(?: [0-9]{4}){3})(?!\w)",
 }
+#: Kinds whose pattern may take in what follows a value: shorter prefixes that end before a separator are looked at too.
+_OPEN = {"iban", "card", "phone"}
+#: Characters of an IBAN by country; of other countries any length is looked at.
+IBAN_LENGTHS = dict(
+    AD=24, AE=23, AL=28, AT=20, AZ=28, BA=20, BE=16, BG=22, BH=22, BR=29, BY=28, CH=21, CR=22, CY=28, CZ=24, DE=22, DK=18, DO=28,
+    EE=20, EG=29, ES=24, FI=18, FO=18, FR=27, GB=22, GE=22, GI=23, GL=18, GR=27, GT=28, HR=21, HU=28, IE=22, IL=23, IQ=23, IS=26,
+    IT=27, JO=30, KW=30, KZ=20, LB=28, LC=32, LI=21, LT=20, LU=20, LV=21, LY=25, MC=27, MD=24, ME=22, MK=19, MR=27, MT=31, MU=30,
+    NL=18, NO=15, PK=24, PL=28, PS=29, PT=25, QA=29, RO=24, RS=22, SA=24, SC=31, SD=18, SE=24, SI=19, SK=24, SM=27, ST=25, SV=28,
+    TL=23, TN=24, TR=26, UA=29, VA=22, VG=24, XK=20,
+)
 
 
 @dataclass(frozen=True)
@@ -101,6 +114,7 @@ class Pseudonyms:
     def __init__(self, key: bytes, inverse: bool = False) -> None:
         if not key or len(key) > 64:
             raise ValueError("A key has 1 to 64 bytes.")
+        self.inverse = inverse
         self._map = Permutation(key).restore if inverse else Permutation(key).permute
         self.replaced = lru_cache(maxsize=100_000)(self._replaced)
 
@@ -177,7 +191,9 @@ class Pseudonyms:
     def _phone(self, found: str, plain: str) -> str | None:
         code = len(plain) - 10 if "(" in found or re.search(r"\d{3}[ .-]\d{3}[ .-]\d{4}$", found) else 0
         national = plain[code:]
-        if code == 0 and found.startswith("+"):  # country codes are not told apart: the first three digits stay
+        if code <= 0 and found.startswith("+"):  # country codes are not told apart: the first three digits stay
+            if not 8 <= len(plain) <= 15:
+                return None
             return _refill(found, plain[:3] + self._digits(plain[3:], f"phone {plain[:3]}"))
         if national[0] in "01" or national[3] in "01":
             return None
@@ -196,24 +212,91 @@ class Pseudonyms:
         return f"{_refill(name, self._classes(letters, 'email'))}@{host}" if letters else None
 
 
+_KINDS = {k: re.compile(p) for k, p in PATTERNS.items()}
 _ANY = re.compile("|".join(f"(?P<{k}>{p.replace(chr(92) + '1', '(?P=mark)').replace('([./-])', '(?P<mark>[./-])')})" for k, p in PATTERNS.items()))
 _DIGIT = re.compile(r"[0-9@]")
 
 
-def pseudonymized(text: str, names: Pseudonyms) -> tuple[str, Counter]:
-    """`text` with pseudonyms, and how many of each kind."""
-    found: Counter = Counter()
-    if not _DIGIT.search(text):
-        return text, found
+def _prefixes(kind: str, found: str) -> list[str]:
+    """What a match may stand for, in the order in which it is tried."""
+    if kind not in _OPEN:
+        return [found]
+    ends = [i for i in range(1, len(found)) if found[i - 1].isalnum() and not found[i].isalnum()]
+    out = [found[:i] for i in [*ends, len(found)]]
+    if kind == "phone":  # where it ends is not known, so as much as there is
+        return [x for x in reversed(out) if x == found or _KINDS["phone"].fullmatch(x)]
+    size = lambda x: sum(c.isalnum() for c in x)
+    if kind == "card":
+        return [x for x in out if size(x) >= 13]
+    known = [i for i, x in enumerate(out) if size(x) == IBAN_LENGTHS.get(found[:2])]
+    return out[known[0] :] if known else [x for x in out if size(x) >= 15]
+
 
-    def swap(match: re.Match) -> str:
-        new = names.replaced(match.lastgroup if match.lastgroup != "mark" else "date", match[0])
-        if new is None:
-            return match[0]
-        found[match.lastgroup if match.lastgroup != "mark" else "date"] += 1
-        return new
+@dataclass(frozen=True)
+class _Span:
+    kind: str
+    begin: int
+    end: int
+    cluster: int  # where the run of candidates begins that reach into each other
+
+
+def _spans(text: str, names: Pseudonyms, at: int = 0, end: int | None = None) -> tuple[list[_Span], dict[int, int]]:
+    """What validates in text[at:end], from left to right, and the clusters that hold a candidate that does not, with their ends."""
+    found, failed = [], {}
+    cluster = reach = -1
+    while (match := _ANY.search(text, at)) and (end is None or match.start() < end):
+        begin = match.start()
+        if begin >= reach:
+            cluster = begin
+        at = begin + 1
+        for kind, pattern in _KINDS.items():
+            if not (match := pattern.match(text, begin)):
+                continue
+            reach = max(reach, match.end())
+            for part in _prefixes(kind, match[0]):
+                if names.replaced(kind, part) is not None:
+                    found.append(_Span(kind, begin, begin + len(part), cluster))
+                    at = begin + len(part)
+                    break
+                failed[cluster] = reach
+            if at > begin + 1:
+                break
+        if cluster in failed:
+            failed[cluster] = reach
+    return found, failed
 
-    return _ANY.sub(swap, text), found
+
+def pseudonymized(text: str, names: Pseudonyms) -> tuple[str, Counter]:
+    """`text` with pseudonyms, and how many of each kind.
+
+    Where candidates that do not validate reach into a value, its pseudonym is permuted on until the text reads as the
+    same values as before, so that the key finds them again; the key's holder undoes such a cluster from its end.
+    """
+    if not _DIGIT.search(text):
+        return text, Counter()
+    spans, failed = _spans(text, names)
+    clusters: dict[int, list[_Span]] = {}
+    for span in spans:
+        clusters.setdefault(span.cluster, []).append(span)
+    for first in sorted(clusters, reverse=True):  # what is before does not move
+        own = clusters[first]
+        if first not in failed:
+            for span in reversed(own):
+                text = text[: span.begin] + names.replaced(span.kind, text[span.begin : span.end]) + text[span.end :]
+            continue
+        own, stop = list(own), max(failed[first], own[-1].end)
+        for i in range(len(own)) if not names.inverse else range(len(own) - 1, -1, -1):
+            begin, new = own[i].begin, text[own[i].begin : own[i].end]
+            while True:
+                new = names.replaced(own[i].kind, new)
+                grown = len(new) - (own[i].end - begin)  # an address may change its length
+                made = text[:begin] + new + text[own[i].end :]
+                move = lambda x, j: (x.kind, x.begin + grown * (j > i), x.end + grown * (j >= i))  # noqa: B023, E731
+                if [(x.kind, x.begin, x.end) for x in _spans(made, names, first, stop + grown)[0]] == [move(x, j) for j, x in enumerate(own)]:
+                    break
+            text, stop = made, stop + grown
+            own = [_Span(*move(x, j), first) for j, x in enumerate(own)]
+    return text, Counter(x.kind for x in spans)
 
 
 def replace_personal(docs: DataFrame, key: bytes = EXAMPLE_KEY, inverse: bool = False) -> DataFrame:

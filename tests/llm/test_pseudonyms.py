@@ -1,3 +1,5 @@
+import random
+
 import corpus
 import pytest
 
@@ -38,6 +40,38 @@ def test_what_does_not_validate_stays(text):
     assert pseudonymized(text, NAMES) == (text, {})
 
 
+FOLLOWED = [
+    ("card", "4111111111111111", " 12/27"), ("card", "4111 1111 1111 1111", " 123"), ("card", "4785380592391139", " 42 items"),
+    ("card", "4111-1111-1111-1111", "-123"), ("card", "4111.1111.1111.1111", ""), ("iban", "BE68 5390 0754 7034", " EUR"),
+    ("iban", "BE68539007547034", " BIC"), ("iban", "AT61 1904 3002 3457 3201", " BIC CODE"), ("phone", "+44 20 7946 0958", ", ext"), ("phone", "+49 15112345678", "."),
+]
+
+
+@pytest.mark.parametrize(("kind", "value", "after"), FOLLOWED)
+@pytest.mark.parametrize("before", ["see ", "no. 42 ", "AB12 "])
+def test_a_value_is_replaced_whatever_follows_or_precedes_it(kind, value, after, before):
+    text = f"{before}{value}{after}"
+    new, found = pseudonymized(text, NAMES)
+    assert found == {kind: 1} and value not in new and new.endswith(after)
+    assert pseudonymized(new, BACK)[0] == text
+
+
+def test_the_key_undoes_values_among_numbers():
+    rng = random.Random(8)
+    for _ in range(3000):
+        parts = []
+        for _ in range(rng.randrange(1, 6)):
+            digits = "".join(rng.choice("0123456789") for _ in range(rng.choice((11, 15, 12))))
+            parts.append(rng.choice((str(rng.randrange(10**4)), digits + luhn_digit(digits), "4111 1111 1111 1111", "BE68 5390 0754 7034", "8.8.8.8", "+44 20 7946 0958", "EUR", "123-45-6789")))
+        text = rng.choice(" -/.").join(parts)
+        assert pseudonymized(pseudonymized(text, NAMES)[0], BACK)[0] == text, text
+
+
+def test_digits_of_other_scripts_are_not_values():
+    text = "\u0664\u0661\u0661\u0661" * 4
+    assert pseudonymized(text, NAMES) == (text, {})
+
+
 def test_equal_values_stay_linked():
     a, b = (pseudonymized(t, NAMES)[0] for t in ("4111 1111 1111 1111", "x 4111111111111111"))
     assert a.replace(" ", "") == b[2:] and luhn_digit(b[2:-1]) == b[-1]
