@@ -75,6 +75,12 @@ CASES = {
         [],
     ),
     "large integer": (line(thumbnail={"width": 2**70}), [], []),
+    "integer of any length": (line(conversion_type=int("7" * 45), thumbnail={"width": -(10**60)}), [], []),
+    "large number that is no integer": (
+        line(conversion_type=1e60),
+        ["invalid_type:conversion_type"],
+        [],
+    ),
     "nested boolean": (
         line(user_agent_details={"mobile": "no"}),
         ["invalid_type:user_agent_details.mobile"],
@@ -96,6 +102,10 @@ CASES = {
     "closing brace": ('1},{"r":2', ["malformed_json:$"], []),
     "end mark": (line(media_name='x "~end-of-line~" Youtube'), [], []),
     "forged end mark": ('1,"~end-of-line~"],[', ["malformed_json:$"], []),
+    "forged end mark and brace": ('1,"~end-of-line~"],[{"r":1},{', ["malformed_json:$"], []),
+    "any separator": (line(received_at="2026-06-05X12:30:00"), [], []),
+    "comma fraction": (line(received_at="2026-06-05T12:30:00,5"), [], []),
+    "week date": (line(received_at="2026-W23-5T12:30Z"), [], []),
     "spaces and CR": ("  " + line() + " \r", [], []),
     "duplicate key": ('{"country":null,' + line()[1:], [], []),
 }
@@ -120,6 +130,34 @@ def test_all_cases(spark):
     assert found == expected
 
 
+MIB = 1 << 20
+
+
+def long_lines():
+    """Lines beyond the parser's own limits for a text, and what is wrong with them."""
+    return {
+        "one long text": (line(org="x" * (20 * MIB)), [], []),
+        "long unknown text": (line(extra="y" * (21 * MIB), percent_viewed=2), ["out_of_range:percent_viewed"], ["extra"]),
+        "forty MiB": (line(org="x" * (39 * MIB), thumbnail={"url": "u", "size": 1}, lat=float("nan")), [], ["thumbnail.size"]),
+        "many members": (line(**{f"k{i}": "z" * 1000 for i in range(21_000)}), [], [f"k{i}" for i in range(21_000)]),
+        "long and cut off": (line(org="x" * (20 * MIB))[:-1], ["malformed_json:$"], []),
+        "long and followed": (line(org="x" * (20 * MIB)) + " x", ["malformed_json:$"], []),
+        "long list": (f"[{line(org='x' * (20 * MIB))}]", ["invalid_record_type:$"], []),
+        "long text alone": ('"' + "x" * (20 * MIB) + '"', ["invalid_record_type:$"], []),
+        "number of many digits": (line(lat=int("1" * 1500)), [], []),
+    }
+
+
+def test_no_length_makes_a_line_malformed(spark, folder):
+    for name, (text, issues, unknown) in long_lines().items():
+        spark.createDataFrame([(name, text)], "name string, value string").write.mode("append").parquet(folder)
+    found = {
+        row["name"]: ([f"{i['code']}:{i['field']}" for i in row["issues"]], sorted(row["unknown_fields"]), row["is_valid"])
+        for row in check_lines(spark.read.parquet(folder)).drop("value").collect()
+    }
+    assert found == {n: (i, sorted(u), not i) for n, (_, i, u) in long_lines().items()}
+
+
 def test_messages(spark):
     frame = spark.createDataFrame([(line(conversion_type=[], thumbnail=1, ip=None),)], "value string")
     issues = check_lines(frame).collect()[0]["issues"]

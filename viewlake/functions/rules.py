@@ -9,26 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from viewlake.functions import contract as C
-from viewlake.functions.json_text import line_value, wrapped_line
+from viewlake.functions.iso_time import is_iso_timestamp
+from viewlake.functions.json_text import UNREAD, line_value, object_members, single_value, wrapped_line
 
 NO_ISSUES = "cast(array() as array<struct<code:string,field:string,message:string>>)"
 NO_NAMES = "cast(array() as array<string>)"
+RECEIVED_TEXT = "try_variant_get(top.received_at, '$', 'string')"
 
-# Extended ISO-8601 after "Z" has been spelled as an offset: a date, then optionally
-# any separator and a time with optional fraction and offset.
-_ISO_TEXT = (
-    r"(?s)^(?!0000)\d{4}-\d{2}-\d{2}"
-    r"(?:.(?:[01]\d|2[0-3])(?::[0-5]\d(?::[0-5]\d(?:[.,]\d+)?)?)?"
-    r"(?:[+-](?:[01]\d|2[0-3])(?::[0-5]\d(?::[0-5]\d(?:\.\d+)?)?)?)?)?$"
-)
-
-
-def is_iso_timestamp(text: str) -> str:
-    """SQL condition: the text is an ISO date or date-time."""
-    return (
-        f"(replace({text}, 'Z', '+00:00') rlike r'{_ISO_TEXT}'"
-        f" and try_to_date(substring({text}, 1, 10)) is not null)"
-    )
+#: Columns that tell where a line stands, in the message that stops a run.
+ADDRESS = ("source_uri", "line_number", "block_start", "row_id", "event_id")
 
 
 def _issue(code: str, field: str, message: str) -> str:
@@ -51,7 +40,7 @@ def _has_kind(tag: str, kind: str) -> str:
         # Integers beyond a long arrive as DECIMAL(19..38, 0); "1.0" as DECIMAL(1,0).
         return rf"({tag} = 'BIGINT' or {tag} rlike r'^DECIMAL\((19|2\d|3\d),0\)$')"
     if kind == "timestamp":
-        return f"({tag} = 'STRING' and coalesce({is_iso_timestamp('received_text')}, false))"
+        return f"({tag} = 'STRING' and is_received_time)"
     raise ValueError(f"unknown kind {kind!r}")
 
 
@@ -116,6 +105,11 @@ def _unknown_names(value: str, parent: str | None) -> str:
     return f"coalesce({extra}, {NO_NAMES})"
 
 
+def _names_in_text() -> str:
+    known = ", ".join(f"'{name}'" for name in C.known_names(None))
+    return f"coalesce(filter(array_distinct(json_object_keys(single)), name -> name not in ({known})), {NO_NAMES})"
+
+
 def _members(value: str, parent: str | None) -> str:
     """The declared members as one struct of VARIANT; NULL unless it is an object.
 
@@ -126,14 +120,20 @@ def _members(value: str, parent: str | None) -> str:
     return f"try_variant_get({value}, '$', 'struct<{kinds}>')"
 
 
-def _type_tag(field: C.Field) -> str:
+def _type_tag(field: C.Field, line: str) -> str:
     holder = f"in_{field.parent}" if field.parent else "top"
-    return f"schema_of_variant({holder}.{field.name}) as {_tag(field.path)}"
+    kind = f"schema_of_variant({holder}.{field.name})"
+    if "integer" in field.kinds:
+        # An integer of more digits than a decimal holds has become a double; its text tells.
+        digits = f"get_json_object({line}, '$.{field.path}') rlike '^-?[0-9]+$'"
+        kind = f"case when {kind} = 'DOUBLE' and {digits} then 'BIGINT' else {kind} end"
+    return f"{kind} as {_tag(field.path)}"
 
 
 def check_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Add ``is_valid``, ``issues`` and ``unknown_fields`` to every line.
 
+    A line of any length is checked. One member beyond what a VARIANT can hold stops the run with the line's address.
     Each step is used more than once by the next, so Catalyst keeps the projections
     apart and a line is parsed only once.
     """
@@ -141,11 +141,14 @@ def check_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     inner = [f"in_{name}" for name in C.OBJECTS]
     malformed = _issue(C.MALFORMED, "$", "Not a single JSON value.")
     no_object = _issue(C.NOT_AN_OBJECT, "$", "Expected a JSON object.")
-    unknown = [_unknown_names("event", None)]
+    kinds = ",".join(f"{name} variant" for name in C.known_names(None))
+    address = ", ".join(f"`{name}`" for name in ADDRESS if name in lines.columns)
+    too_large = f"raise_error(concat_ws(' ', 'A line has a member too large to be read:'{address and ', ' + address}))"
+    unknown = [f"case when event is null then {_names_in_text()} else {_unknown_names('event', None)} end"]
     unknown += [_unknown_names(f"top.{name}", name) for name in C.OBJECTS]
     unknown_fields = f"case when top is null then {NO_NAMES} else concat({', '.join(unknown)}) end"
     issues = (
-        f"case when is_valid then {NO_ISSUES} when event is null then array({malformed})"
+        f"case when is_valid then {NO_ISSUES} when event is null and single is null then array({malformed})"
         f" when top is null then array({no_object}) else {_record_issues()} end"
     )
     result = (
@@ -154,11 +157,14 @@ def check_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     steps = [
         [f"{wrapped_line(f'`{column}`')} as wrapped"],
         [f"{line_value(f'`{column}`', 'wrapped')} as event"],
-        ["event", f"{_members('event', None)} as top"],
-        ["event", "top", *[f"{_members(f'top.{n}', n)} as in_{n}" for n in C.OBJECTS]],
-        ["event", "top", *inner,
-         "try_variant_get(top.received_at, '$', 'string') as received_text",
-         *[_type_tag(f) for f in C.FIELDS]],
+        ["event", f"case when event is null then {single_value(f'`{column}`')} end as single"],
+        ["event", "single", f"{object_members('single', kinds)} as apart"],
+        ["event", "single", f"case when apart.{UNREAD} is not null then {too_large} when apart is null"
+         f" then {_members('event', None)} else struct({', '.join(f'apart.{n}' for n in C.known_names(None))}) end as top"],
+        ["event", "single", "top", *[f"{_members(f'top.{n}', n)} as in_{n}" for n in C.OBJECTS]],
+        ["event", "single", "top", *inner,
+         f"coalesce({is_iso_timestamp(RECEIVED_TEXT)}, false) as is_received_time",
+         *[_type_tag(f, f"`{column}`") for f in C.FIELDS]],
         ["*", f"{_is_clean()} as is_valid", f"{unknown_fields} as unknown_fields"],
         # Filters do not move below a generator. Without it, Catalyst would push one
         # through every projection above and write the parsing out once per use. The

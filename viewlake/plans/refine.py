@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from viewlake.functions.iso_time import iso_timestamp
 from viewlake.functions.media import channel_from_title
 from viewlake.operators.gates import require_channels, require_columns
 from viewlake.operators.latest import latest_per_key
@@ -23,9 +24,9 @@ _USED = [
 def typed_events(raw: DataFrame) -> DataFrame:
     """The required fields of raw events, with the arrival time as a timestamp."""
     require_columns(raw.columns, _USED, "Raw input")
-    # Text is parsed; a source that already has timestamps keeps them.
+    # Text is read by the grammar of the contract's rule; a source that already has timestamps keeps them.
     if dict(raw.dtypes)["received_at"] == "string":
-        raw = raw.withColumn("received_at", F.try_to_timestamp("received_at"))
+        raw = raw.withColumn("received_at", F.expr(iso_timestamp("received_at")))
     return raw.select(*_USED)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewlake.errors import GateError
-from viewlake.sources.landing import read_json_object
+from viewlake.sources.landing import read_json_object, text_member
 
 REPORT_SCHEMA = """
     additive_drift_detected boolean, contract_version string,
@@ -19,6 +19,7 @@ REPORT_SCHEMA = """
     total_record_count bigint, unknown_field_counts_uri string,
     valid_record_count bigint, validated_at string
 """
+REPORT_MEMBERS = "ingestion_run_id variant, raw_s3_uri variant, valid_record_count variant"
 REPORT_FIELDS = [part.split()[0] for part in REPORT_SCHEMA.replace("\n", " ").split(", ")]
 
 
@@ -40,26 +41,20 @@ class ValidatedInput:
 
 
 def report_values(doc: DataFrame, *keep: str) -> DataFrame:
-    """Lineage and count of report documents, NULL where the JSON type is wrong."""
-
-    def typed(path: str, tag: str, kind: str):
-        value = F.try_variant_get("doc", path, "variant")
-        return F.when(
-            F.schema_of_variant(value) == tag, F.try_variant_get("doc", path, kind)
-        )
-
-    count = typed("$.valid_record_count", "BIGINT", "bigint")
+    """Lineage and count of report documents (``REPORT_MEMBERS``), NULL where the JSON type is wrong."""
+    value = F.col("doc.valid_record_count")
+    count = F.when(F.schema_of_variant(value) == "BIGINT", F.try_variant_get(value, "$", "bigint"))
     return doc.select(
         *keep,
-        typed("$.ingestion_run_id", "STRING", "string").alias("run_id"),
-        typed("$.raw_s3_uri", "STRING", "string").alias("raw_uri"),
+        text_member("doc.ingestion_run_id").alias("run_id"),
+        text_member("doc.raw_s3_uri").alias("raw_uri"),
         F.when(count >= 0, count).alias("valid_records"),
     )
 
 
 def validated_input(spark: SparkSession, report_uri: str, run_id: str) -> ValidatedInput:
     """Raw folder and record count of the report, if it belongs to ``run_id``."""
-    row = report_values(read_json_object(spark, report_uri)).collect()[0]
+    row = report_values(read_json_object(spark, report_uri, REPORT_MEMBERS)).collect()[0]
     if row["run_id"] != run_id:
         raise GateError(f"The report is of run {row['run_id']!r}, not of {run_id!r}.")
     if row["raw_uri"] is None:

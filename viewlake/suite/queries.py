@@ -24,8 +24,10 @@ from viewlake.plans.runs import Layout
 from viewlake.session import configure, new_folder
 from viewlake.sources import ledger as L
 from viewlake.sources.landing import (
+    MANIFEST_MEMBERS,
     Extraction,
     extract_window,
+    json_documents,
     landing_lines,
     manifest_sources,
     raw_events,
@@ -33,7 +35,7 @@ from viewlake.sources.landing import (
     write_landing,
     write_manifest,
 )
-from viewlake.sources.reports import read_report, report_values
+from viewlake.sources.reports import REPORT_MEMBERS, read_report, report_values
 from viewlake.sources.tables import overwrite_table, read_table, upsert_table
 from viewlake.streaming.incremental import start_incremental
 from viewlake.suite import binding as B
@@ -204,7 +206,7 @@ def _manifest_sources(spark, sf_dir):
     entry = F.concat(F.lit('{"s3_uri":'), uri, F.lit("}"))
     days = kinds.groupBy("day").agg(F.sort_array(F.collect_list(F.struct("event_type", entry.alias("text")))).alias("e"))
     text = F.concat(F.lit('{"results":['), F.array_join(F.col("e")["text"], ","), F.lit("]}"))
-    return manifest_sources(days.select("day", F.parse_json(text).alias("doc")), "day")
+    return manifest_sources(json_documents(days.select("day", text.alias("value")), MANIFEST_MEMBERS, "day"), "day")
 
 
 @query
@@ -472,8 +474,8 @@ def lineage_gate(spark, sf_dir):
         F.lit('{"ingestion_run_id":"'), run, F.lit('","raw_s3_uri":'), uri,
         F.lit(',"valid_record_count":'), count, F.lit("}"),
     )
-    docs = batches.select("day", "event_type", text.alias("text"))
-    values = report_values(docs.select("*", F.parse_json("text").alias("doc")), "day", "event_type")
+    docs = json_documents(batches.select("day", "event_type", text.alias("value")), REPORT_MEMBERS, "day", "event_type")
+    values = report_values(docs, "day", "event_type")
     expected = F.concat(F.lit("run-"), "day")
     verdict = (
         F.when(~F.equal_null(F.col("run_id"), expected), "wrong run")
