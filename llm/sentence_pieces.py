@@ -28,10 +28,12 @@ from llm.spark import sha256_hex, table
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 #: Bytes of words, and of their ids, that a worker remembers.
-MEMORY = 24 << 20
-#: What a word costs there beside its bytes.
-_ENTRY = 200
-_NEVER = np.iinfo(np.int64).max
+MEMORY = 32 << 20
+#: Texts that are decoded at once.
+DECODED = 256
+_NEVER = np.iinfo(np.int32).max
+_EMPTY, _NO_PAIR = -1, -2
+_SCATTER = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _one_by_one(error: UnicodeDecodeError) -> tuple[str, int]:
@@ -62,7 +64,8 @@ class Pieces:
             self.surface[i] = bytes([b])
         self.silent = {i for i in range(n) if model.is_control(i)}
         self.spaced = {i for i in normal if names[i].startswith(SPACE)}
-
+        # as a text's first piece, which loses a space, piece i is number n + i
+        self.surfaces = pa.array(self.surface + [s[i in self.spaced :] for i, s in enumerate(self.surface)], pa.binary())
         self.size = n
         id_of = {names[i]: i for i in normal}
         rank = np.unique([-model.get_score(i) for i in range(n)], return_inverse=True)[1].astype(np.int64)
@@ -73,9 +76,17 @@ class Pieces:
                 left, right = id_of.get(piece[:k]), id_of.get(piece[k:])
                 if left is not None and right is not None:
                     pairs[left * n + right] = i
-        self.pair = np.array(sorted(pairs), dtype=np.int64)
-        self.merged = np.array([pairs[k] for k in self.pair.tolist()], dtype=np.int64)
-        self.rank = rank[self.merged]
+        # an open hash table of the pairs, at most a quarter full
+        bits = (4 * len(pairs)).bit_length()
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.pair = np.full(1 << bits, _EMPTY, dtype=np.int64)
+        self.merged = np.zeros(1 << bits, dtype=np.int64)
+        slots = self._slots(np.array(list(pairs), dtype=np.int64)).tolist()
+        for (key, i), slot in zip(pairs.items(), slots, strict=True):
+            while self.pair[slot] != _EMPTY:
+                slot = (slot + 1) & self.last
+            self.pair[slot], self.merged[slot] = key, i
+        self.rank = np.where(self.pair == _EMPTY, _NEVER, rank[self.merged]).astype(np.int32)
         self.cut_at_space = not any(b == SPACE and a != SPACE for a, b in reach)
         self.char = np.array(sorted(ord(c) for c in id_of if len(c) == 1), dtype=np.int64)
         self.char_id = np.array([id_of[chr(c)] for c in self.char], dtype=np.int64)
@@ -83,19 +94,27 @@ class Pieces:
         #: ASCII characters other than the space that no piece has beside others; words are cut around them.
         inside = {c for ab in reach for c in ab}
         self.alone = np.array([b < 128 and b != 32 and chr(b) not in inside for b in range(256)])
-        self.known: dict[bytes, bytes] = {}
-        self.held = 0
+        self.known = words.Remembered(pa.large_binary(), np.int32)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * _SCATTER) >> self.shift).view(np.int64)
 
     def _merge_of(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rank, merged symbol) of pairs; symbols below zero are in no pair."""
-        key = np.where((left >= 0) & (right >= 0), left * self.size + right, -1)
-        at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
-        return np.where(self.pair[at] == key, self.rank[at], _NEVER), self.merged[at]
+        key = np.where((left >= 0) & (right >= 0), left * self.size + right, _NO_PAIR)
+        slot = self._slots(key)
+        found = self.pair[slot]
+        open_ = np.flatnonzero((found != key) & (found != _EMPTY))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & self.last
+            found[open_] = self.pair[slot[open_]]
+            open_ = open_[(found[open_] != key[open_]) & (found[open_] != _EMPTY)]
+        return self.rank[slot], self.merged[slot]
 
     def merge(self, symbols: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(symbols, word of each) after all merges; `word` ascends, and symbols below zero never merge."""
         done: list[tuple[np.ndarray, np.ndarray]] = []
-        rank, merged = np.full(len(symbols), _NEVER), np.zeros(len(symbols), dtype=np.int64)
+        rank, merged = np.full(len(symbols), _NEVER, dtype=np.int32), np.zeros(len(symbols), dtype=np.int64)
         changed = np.flatnonzero(word[1:] == word[:-1])
         while len(symbols):
             rank[changed], merged[changed] = self._merge_of(symbols[changed], symbols[changed + 1])
@@ -107,11 +126,11 @@ class Pieces:
             # of neighbours that share a symbol, every other one from the left
             head = np.concatenate(([True], np.diff(chosen) != 1))[: len(chosen)]
             chosen = chosen[(np.arange(len(chosen)) - np.flatnonzero(head)[np.cumsum(head) - 1]) % 2 == 0]
-            stepwise = np.unique(word[chosen[self._disordered(symbols, word, merged, least, chosen)]])
+            disordered = self._disordered(symbols, word, merged, least, chosen)
             leave = np.repeat(best == _NEVER, size)
             done.append((symbols[leave], word[leave]))
-            if len(stepwise):
-                for w in stepwise.tolist():
+            if disordered.any():
+                for w in np.unique(word[chosen[disordered]]).tolist():
                     i, j = np.searchsorted(word, [w, w + 1])
                     steps = self._steps(symbols[i:j].tolist())
                     done.append((np.array(steps, dtype=np.int64), np.full(len(steps), w)))
@@ -123,9 +142,9 @@ class Pieces:
             stays[chosen + 1] = False
             place = np.cumsum(stays)[chosen] - 1
             symbols, word, rank, merged = symbols[stays], word[stays], rank[stays], merged[stays]
-            changed = np.unique(np.concatenate((place - 1, place)))
-            changed = changed[(changed >= 0) & (changed < len(word) - 1)]
-            changed = changed[word[changed] == word[changed + 1]]
+            near = np.zeros(len(word) + 1, dtype=bool)  # the last is that of a pair before the first symbol
+            near[place] = near[place - 1] = True
+            changed = np.flatnonzero(near[: len(word) - 1] & (word[1:] == word[:-1])) if len(word) else place
         symbols, word = (np.concatenate(x) for x in zip(*done, strict=True)) if done else (symbols, word)
         order = np.argsort(word, kind="stable")
         return symbols[order], word[order]
@@ -174,14 +193,18 @@ class Pieces:
             i = behind[i]
         return out
 
-    def _encode_words(self, found: list[bytes]) -> list[bytes]:
-        """Ids (four bytes each) of words, which begin with a space where one precedes them."""
-        points = np.frombuffer(b"".join(found).decode().encode("utf-32-le"), dtype="<u4").astype(np.int64)
-        length = np.array([len(w.decode()) for w in found], dtype=np.int64)
-        word = np.repeat(np.arange(len(found)), length)
+    def _encode_words(self, found: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each word, all ids) of words, which begin with a space where one precedes them."""
+        texts = pc.cast(found, pa.large_string())
+        ends = np.frombuffer(found.buffers()[1], dtype=np.int64)[found.offset : found.offset + len(found) + 1]
+        whole = found.buffers()[2].slice(int(ends[0]), int(ends[-1] - ends[0])).to_pybytes().decode()
+        points = np.frombuffer(whole.encode("utf-32-le"), dtype="<u4").astype(np.int64)
+        word = np.repeat(np.arange(len(found)), pc.utf8_length(texts).to_numpy(zero_copy_only=False))
         points[points == 32] = ord(SPACE)
         # parts of a word between which no piece reaches are merged on their own
-        joins = np.isin(points[:-1] << 32 | points[1:], self.reach) & (word[1:] == word[:-1])
+        beside = points[:-1] << 32 | points[1:]
+        known = np.minimum(np.searchsorted(self.reach, beside), len(self.reach) - 1)
+        joins = (self.reach[known] == beside) & (word[1:] == word[:-1])
         part = np.concatenate(([0], np.cumsum(~joins)))
         at = np.minimum(np.searchsorted(self.char, points), len(self.char) - 1)
         symbols = np.where(self.char[at] == points, self.char_id[at], -1 - points)
@@ -196,9 +219,7 @@ class Pieces:
             symbols, word = np.repeat(symbols, count), np.repeat(word, count)
             places = np.repeat(first[unknown] - np.cumsum(count[unknown]) + count[unknown], count[unknown])
             symbols[places + np.arange(len(places))] = self.of_byte[np.frombuffer(b"".join(raw), dtype=np.uint8)]
-        ends = np.cumsum(np.bincount(word, minlength=len(found)))
-        flat = symbols.astype("<i4").tobytes()
-        return [flat[4 * a : 4 * b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+        return np.bincount(word, minlength=len(found)).astype(np.int64), symbols.astype(np.int32)
 
     def _words(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
         """Words of each text, a space set before it: their number per text, and all of them."""
@@ -220,32 +241,32 @@ class Pieces:
         text_of = np.searchsorted(np.cumsum(size), starts, side="right")
         return np.bincount(text_of, minlength=len(texts)).astype(np.int64), found
 
-    def _ids_of_words(self, found: list[bytes]) -> list[bytes]:
-        new = [w for w in found if w not in self.known]
-        fresh = dict(zip(new, self._encode_words(new), strict=True)) if new else {}
-        out = [fresh[w] if w in fresh else self.known[w] for w in found]
-        cost = sum(len(w) + len(i) + _ENTRY for w, i in fresh.items())
-        if self.held + cost > MEMORY:
-            self.known, self.held = {}, 0
-        if cost <= MEMORY:
-            self.known |= fresh
-            self.held += cost
-        return out
-
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of each text, all ids)."""
         per, found = self._words(texts)
         coded = found.dictionary_encode()
-        ids = self._ids_of_words(coded.dictionary.to_pylist())
-        index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        size = np.array([len(x) // 4 for x in ids], dtype=np.int64)
-        flat = np.frombuffer(b"".join(ids), dtype="<i4")
-        each = size[index] if len(index) else index
-        total = np.cumsum(each)
-        begin = np.cumsum(size) - size
-        places = np.arange(total[-1] if len(total) else 0) + np.repeat(begin[index] - (total - each) if len(index) else index, each)
+        size, begins, flat = self.known.look_up(coded.dictionary, self._encode_words, MEMORY)
+        index = coded.indices.to_numpy(zero_copy_only=False)
+        each = size[index]
         row = np.repeat(np.arange(len(per)), per)
-        return np.bincount(row, weights=each, minlength=len(per)).astype(np.int64), flat[places]
+        return np.bincount(row, weights=each, minlength=len(per)).astype(np.int64), flat[words.stretches(begins[index], each)]
+
+    def decode_all(self, lists: pa.Array) -> pa.Array:
+        """The texts of lists of ids."""
+        lists = pc.fill_null(lists, [])
+        ids = lists.flatten()
+        silent = pc.any(pc.is_in(ids, value_set=pa.array(sorted(self.silent), pa.int32()))).as_py()
+        ends = np.append(0, np.cumsum(np.diff(np.asarray(lists.offsets))))
+        places = ids.to_numpy(zero_copy_only=False).astype(np.int64)
+        places[ends[:-1][np.diff(ends) > 0]] += self.size
+        surfaces = self.surfaces.take(pa.array(places))
+        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), surfaces), b"")
+        try:
+            if not silent:
+                return pc.cast(texts, pa.string())
+        except pa.ArrowInvalid:
+            pass  # bytes that are no character
+        return pa.array([self.decode(x) for x in lists.to_pylist()], pa.string())
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: the first piece with a surface loses one space, bytes that are no character become U+FFFD."""
@@ -282,8 +303,9 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Record
 
 def _decoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = pa.array([_pieces(path).decode(ids or []) for ids in (x.as_py() for x in batch["ids"])], pa.string())
-        yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["ids"], texts], names=["doc_id", "ids", "decoded"])
+        for first in range(0, len(batch), DECODED):
+            own = batch.slice(first, DECODED)
+            yield pa.RecordBatch.from_arrays([own["doc_id"], own["ids"], _pieces(path).decode_all(own["ids"])], names=["doc_id", "ids", "decoded"])
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -101,3 +101,40 @@ def places(per: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     first = np.concatenate(([0], np.cumsum(per)[:-1])) if len(per) else np.zeros(0, np.int64)
     place = np.arange(len(row)) - first[row]
     return row, place, per[row] - place
+
+
+def stretches(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of stretches one behind the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins - (ends - sizes), sizes)
+
+
+class Remembered:
+    """Strings whose ids a worker has found, and the ids, as arrays of at most `limit` bytes."""
+
+    def __init__(self, kind: pa.DataType, ids: type) -> None:
+        self.known = (pa.array([], kind), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=ids))
+
+    def look_up(self, found: pa.Array, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], limit: int) -> tuple[np.ndarray, ...]:
+        """(number of ids, place of the first) of each of the distinct strings `found`, and ids for the places.
+
+        `encode` gives the number of ids of each of the strings that are new, and all their ids.
+        """
+        strings, sizes, flat = self.known
+        at = pc.fill_null(pc.index_in(found, value_set=strings), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            fresh = found.take(pa.array(new))
+            at[new] = len(strings) + np.arange(len(new))
+            more = encode(fresh)
+            strings, sizes, flat = pa.concat_arrays([strings, fresh]), np.concatenate((sizes, more[0])), np.concatenate((flat, more[1]))
+        begins = np.cumsum(sizes) - sizes
+        kept = strings, sizes, flat
+        if self._bytes(kept) > limit:  # only the strings at hand stay, if there is room for them
+            kept = found, sizes[at], flat[stretches(begins[at], sizes[at])]
+        self.known = kept if self._bytes(kept) <= limit else tuple(x[:0] for x in kept)
+        return sizes[at], begins[at], flat
+
+    @staticmethod
+    def _bytes(kept: tuple) -> int:
+        return sum(x.nbytes for x in kept)
