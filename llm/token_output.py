@@ -4,8 +4,9 @@ A file set is a Parquet folder with one row a block. A block holds the ids of wh
 bits, with the bit offset of every STRIDE-th id, and can be decoded alone with the code lengths of the set (`codes`).
 Blocks are in ascending doc_id order: by shard, then by block.
 
-Tokenizing is most of the work, so it is done once, into a table of plain ids that the counts and the files are made
-from. A task tokenizes each distinct piece of a batch once, and a worker keeps the ids of pieces it has seen.
+Tokenizing is most of the work, so it is done once, into a table of plain ids that the files are made from. A task
+counts the ids as it makes them and adds the counts as its last row. It tokenizes each distinct piece of a run of texts
+once, and a worker keeps the ids of pieces it has seen, up to a number of bytes.
 """
 
 from __future__ import annotations
@@ -22,22 +23,24 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import huffman
-from llm.spark import buckets, new_folder, table, written
+from llm import huffman, words
+from llm.spark import input_bytes, new_folder, partitions, table, written
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
 #: Ids after which a block is closed; a document is never cut.
 BLOCK = 1 << 18
-#: Pieces that a worker remembers.
-MEMORY = 500_000
-NULL_ID = -(2**63)
-BLOCKS = "shard int, block int, before long, n_tokens long, doc_ids binary, counts binary, bits binary, checkpoints binary"
+#: Bytes of pieces and their ids that a worker remembers.
+MEMORY = 40 << 20
+#: Bytes of input a shard of the files stands for.
+SHARD_BYTES = 64 << 20
+BLOCKS = "shard int, block int, before long, n_tokens long, doc_ids binary, no_ids binary, counts binary, bits binary, checkpoints binary"
 
 #: White space as the tokenizer's own pattern has it. Fixed values.
 _WHITE = r"\t\n\x0B\f\r \x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 #: A space inside a run of white space; only at other spaces do pieces of a text stand alone.
 _RUN = f"[{_WHITE}] ([{_WHITE}]|$)"
+_ODD = f"^[{_WHITE}]|[{_WHITE}]$|^$"
 
 
 class Encoder:
@@ -53,28 +56,44 @@ class Encoder:
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.spaced = np.zeros(self.size, dtype=bool)
         self.spaced[[i for t, i in vocabulary.items() if t.startswith("Ġ")]] = True
-        self.known: dict[str, bytes] = {}
+        self.known = words.Remembered(pa.string(), np.uint32)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype=np.uint32) for x in found]
 
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
-        """The ids of pieces that follow a space; many are encoded as one text and cut where a space begins an id."""
-        out: list[bytes] = []
-        for i in range(0, len(pieces), 256):
-            some = pieces[i : i + 256]
+    def _encode_pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each piece, all ids) of pieces that follow a space.
+
+        Many are encoded as one text and cut where a space begins an id; those with white space at an end on their own.
+        """
+        odd = pc.match_substring_regex(pieces, _ODD).to_numpy(zero_copy_only=False)
+        order = np.argsort(odd, kind="stable")
+        texts = pieces.take(pa.array(order)).to_pylist()
+        tidy = len(texts) - int(odd.sum())
+        sizes, flat = [], []
+        for i in range(0, tidy, 256):
+            some = texts[i : min(i + 256, tidy)]
             ids = self._encode([" " + " ".join(some)])[0]
             first = np.flatnonzero(self.spaced[ids])
             if len(first) == len(some) and first[0] == 0:
-                cuts = [*first.tolist(), len(ids)]
-                out += [ids[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                sizes.append(np.diff(np.append(first, len(ids))))
+                flat.append(ids)
             else:
-                out += [x.tobytes() for x in self._encode([" " + x for x in some])]
-        return out
+                alone = self._encode([" " + x for x in some])
+                sizes.append([len(x) for x in alone])
+                flat += alone
+        alone = self._encode([" " + x for x in texts[tidy:]])
+        sizes.append([len(x) for x in alone])
+        flat += alone
+        size = np.concatenate(sizes).astype(np.int64)
+        back = np.argsort(order, kind="stable")
+        begins = np.cumsum(size) - size
+        every = np.concatenate([*flat, np.zeros(0, dtype=np.uint32)])
+        return size[back], every[words.stretches(begins[back], size[back])]
 
-    def distinct(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(items of each text, of each item its piece, ids of each piece, ids of all pieces): texts as items in turn."""
+    def distinct(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
+        """(items of each text, of each item its piece, of each piece the number and place of its ids, ids): texts as items in turn."""
         texts = pc.fill_null(texts, "")
         whole = pc.match_substring_regex(texts, _RUN)
         for special in self.specials:
@@ -84,36 +103,22 @@ class Encoder:
         per = np.diff(np.asarray(lists.offsets)).astype(np.int64)
         begins = np.concatenate(([0], np.cumsum(per)[:-1]))
         # a text's first piece has no space before it; a text that spaces do not cut is one piece
-        firsts = pc.if_else(pa.array(whole), texts, lists.flatten().take(pa.array(begins)))
+        firsts = self._encode(pc.if_else(pa.array(whole), texts, lists.flatten().take(pa.array(begins))).to_pylist())
         coded = lists.flatten().dictionary_encode()
-        pieces = coded.dictionary.to_pylist()
-        new = [p for p in pieces if p not in self.known]
-        if len(self.known) + len(new) > MEMORY:
-            self.known.clear()
-            new = pieces
-        tidy = [p for p in new if p and not p[0].isspace() and not p[-1].isspace()]
-        fresh = dict(zip(tidy, self._pieces(tidy), strict=True))
-        odd = [p for p in new if p not in fresh]
-        fresh |= zip(odd, (x.tobytes() for x in self._encode([" " + p for p in odd])), strict=True)
-        of_pieces = [fresh[p] if p in fresh else self.known[p] for p in pieces]
-        if len(self.known) + len(fresh) <= MEMORY:
-            self.known |= fresh
-        of_firsts = [x.tobytes() for x in self._encode(firsts.to_pylist())]
+        size, begin, flat = self.known.look_up(coded.dictionary, self._encode_pieces, MEMORY)
+        own = np.array([len(x) for x in firsts], dtype=np.int64)
         index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        index[begins] = len(pieces) + np.arange(len(texts))
-        every = of_pieces + of_firsts
-        return per, index, np.array([len(x) // 4 for x in every], dtype=np.int64), np.frombuffer(b"".join(every), dtype=np.uint32)
+        index[begins] = len(size) + np.arange(len(texts))
+        begin = np.concatenate((begin, len(flat) + np.cumsum(own) - own))
+        return per, index, np.concatenate((size, own)), begin, np.concatenate((flat, *firsts))
 
     def ids(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of each text with `end` after it, all ids)."""
-        per, index, size, flat = self.distinct(texts)
-        begins = np.cumsum(size) - size
+        per, index, size, begins, flat = self.distinct(texts)
         each = size[index]
-        total = np.cumsum(each)
-        place = np.arange(total[-1] if len(total) else 0) + np.repeat(begins[index] - (total - each), each)
         row = np.repeat(np.arange(len(per)), per)
         counts = np.bincount(row, weights=each, minlength=len(per)).astype(np.int64)
-        return counts + 1, np.insert(flat[place], np.cumsum(counts), end)
+        return counts + 1, np.insert(flat[words.stretches(begins[index], each)], np.cumsum(counts), end)
 
 
 @lru_cache(maxsize=2)
@@ -128,7 +133,7 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-def _runs(texts: pa.Array, size: int = 32 << 20) -> Iterator[tuple[int, pa.Array]]:
+def _runs(texts: pa.Array, size: int = 4 << 20) -> Iterator[tuple[int, pa.Array]]:
     """Texts of a batch in runs of some megabytes, long enough for pieces to repeat."""
     ends = np.cumsum(pc.binary_length(pc.fill_null(texts, "")).to_numpy(zero_copy_only=False).astype(np.int64))
     first = 0
@@ -148,35 +153,42 @@ def _unpacked(raw: bytes) -> np.ndarray:
 
 
 def tokenized(docs: DataFrame, path: str, end: int = END_ID) -> DataFrame:
-    """(doc_id, ids) of docs(doc_id, text) as a written table: ids with the end id, packed."""
+    """(doc_id, ids, counts) of docs(doc_id, text) as a written table: ids with the end id, packed.
+
+    Rows without ids, one a task, hold how often each id occurs in the task's other rows.
+    """
 
     def run(batches):
+        names, kinds = ["doc_id", "ids", "counts"], (pa.int64(), pa.binary(), pa.binary())
+        total = np.zeros(0, dtype=np.int64)
         for batch in batches:
             for first, texts in _runs(batch["text"]):
                 counts, ids = _encoder(path).ids(texts, end)
+                new = np.bincount(ids, minlength=len(total))
+                new[: len(total)] += total
+                total = new
                 ends = np.cumsum(counts)
-                raw = [_packed(ids[b - n : b]) for b, n in zip(ends, counts, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(first, len(texts)), pa.array(raw, pa.binary())], names=["doc_id", "ids"])
+                raw = pa.array([_packed(ids[b - n : b]) for b, n in zip(ends, counts, strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(first, len(texts)), raw, pa.nulls(len(texts), pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((None, None, total.astype("<i8").tobytes()), kinds, strict=True)], names=names)
 
-    rows = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "text")
-    return written(rows.mapInArrow(run, "doc_id long, ids binary"), "ids")
+    return written(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary, counts binary"), "ids")
 
 
-def id_counts(ids: DataFrame) -> np.ndarray:
-    """How often each id occurs over all rows of ids(ids)."""
+def id_counts(plain: DataFrame) -> np.ndarray:
+    """How often each id occurs in a table of `tokenized`; the tasks' rows are summed in tasks, to one a partition."""
 
-    def count(batches):
-        total = np.zeros(1, dtype=np.int64)
+    def add(batches):
+        total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for raw in batch["ids"]:
-                new = np.bincount(_unpacked(raw.as_py()))
-                if len(new) > len(total):
-                    total = np.concatenate((total, np.zeros(len(new) - len(total), np.int64)))
+            for raw in batch["counts"]:
+                new = np.frombuffer(raw.as_buffer(), dtype="<i8")
+                total = np.concatenate((total, np.zeros(max(0, len(new) - len(total)), np.int64)))
                 total[: len(new)] += new
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 
-    rows = ids.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    rows = plain.where("counts is not null").select("counts").mapInArrow(add, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(max([0, *rows["id"].to_pylist()]) + 1, dtype=np.int64)  # at most one row an id of the vocabulary
     out[rows["id"].to_numpy()] = rows["n"].to_numpy()
     return out
@@ -185,8 +197,9 @@ def id_counts(ids: DataFrame) -> np.ndarray:
 def write_tokens(docs: DataFrame, folder: str, path: str, end: int = END_ID) -> None:
     """Write the ids of docs(doc_id, text) to `folder`/blocks, and the code lengths to `folder`/codes.
 
-    A null text is empty, a null doc_id comes first, rows of one doc_id follow each other by their ids; other columns are
-    left aside. An empty table gives a file set without blocks.
+    A null text is empty, a null doc_id comes first, rows of one doc_id follow each other in an order that only their
+    ids decide; other columns are left aside. An empty table gives a file set without blocks. Shards are ranges of
+    doc_id, ids and row, so that neither rows without a doc_id nor those of one doc_id have to share a shard.
     """
     spark = docs.sparkSession
     plain = tokenized(docs, path, end)
@@ -197,31 +210,33 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end: int = END_ID) ->
         code = huffman.codes(lengths)
         shard = TaskContext.get().partitionId()
         block, before, held = 0, 0, 0
-        open_: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        open_: list[tuple[np.ndarray, ...]] = []
 
         def close():
             nonlocal block, before, held, open_
-            doc_ids, counts, ids = (np.concatenate(x) for x in zip(*open_, strict=True))
+            doc_ids, without, counts, ids = (np.concatenate(x) for x in zip(*open_, strict=True))
             bits, checkpoints = huffman.encode(ids, lengths, code)
-            row = [shard, block, before, len(ids), doc_ids.astype("<i8").tobytes(), counts.astype("<i8").tobytes(), bits, checkpoints]
+            row = [shard, block, before, len(ids), doc_ids.astype("<i8").tobytes(), np.packbits(without).tobytes(), counts.astype("<i8").tobytes(), bits, checkpoints]
             block, before, held, open_ = block + 1, before + len(ids), 0, []
-            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 4)
+            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 5)
             names = [x.split()[0] for x in BLOCKS.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=names)
 
         for batch in batches:
-            doc_ids = batch["doc_id"].to_numpy(zero_copy_only=False)
+            doc_ids = pc.fill_null(batch["doc_id"], 0).to_numpy(zero_copy_only=False)
+            without = pc.is_null(batch["doc_id"]).to_numpy(zero_copy_only=False)
             for k, raw in enumerate(batch["ids"]):
                 ids = _unpacked(raw.as_py())
-                open_.append((doc_ids[k : k + 1], np.array([len(ids)]), ids))
+                open_.append((doc_ids[k : k + 1], without[k : k + 1], np.array([len(ids)]), ids))
                 held += len(ids)
                 if held >= BLOCK:
                     yield close()
         if open_:
             yield close()
 
-    shards = min(buckets(docs), 100_000)
-    ordered = plain.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "ids")
+    shards = max(partitions(spark), input_bytes(docs) // SHARD_BYTES)
+    rows = plain.where("counts is null").select("doc_id", "ids", F.xxhash64("ids").alias("hash"), F.monotonically_increasing_id().alias("row"))
+    ordered = rows.repartitionByRange(shards, "doc_id", "hash", "row").sortWithinPartitions("doc_id", "hash", "ids").select("doc_id", "ids")
     ordered.mapInArrow(encode, BLOCKS).write.option("compression", "none").parquet(f"{folder}/blocks")
 
 
@@ -229,7 +244,7 @@ def read_tokens(spark: SparkSession, folder: str, ids: bool = True) -> DataFrame
     """(doc_id, start, n_tokens, ids_crc32[, ids]) of a file set; start: ids of all documents before."""
     lengths = np.frombuffer(spark.read.parquet(f"{folder}/codes").first()["lengths"], dtype=np.uint8)
     blocks = spark.read.schema(BLOCKS).parquet(f"{folder}/blocks")
-    totals = blocks.groupBy("shard").agg(F.sum("n_tokens").alias("n")).collect()  # one row a shard, of 100,000 at most
+    totals = blocks.groupBy("shard").agg(F.sum("n_tokens").alias("n")).collect()  # one row for each 64 MB of input
     first, shard_start = 0, {}
     for r in sorted(totals, key=lambda r: r["shard"]):
         shard_start[r["shard"]], first = first, first + r["n"]
@@ -245,8 +260,9 @@ def read_tokens(spark: SparkSession, folder: str, ids: bool = True) -> DataFrame
                 begins = ends - counts
                 raw = memoryview(found.astype("<u4").tobytes())
                 doc_ids = np.frombuffer(row["doc_ids"], dtype="<i8")
+                without = np.unpackbits(np.frombuffer(row["no_ids"], dtype=np.uint8), count=len(doc_ids)).astype(bool)
                 cols = [
-                    pa.array(doc_ids, mask=doc_ids == NULL_ID),
+                    pa.array(doc_ids, mask=without),
                     pa.array(shard_start[row["shard"]] + row["before"] + begins), pa.array(counts),
                     pa.array([zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(begins, ends, strict=True)], pa.int64()),
                 ]

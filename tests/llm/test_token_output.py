@@ -30,7 +30,7 @@ def test_pieces_give_the_ids_of_whole_texts(texts):
 
 
 def test_forgetting_pieces_changes_nothing(monkeypatch):
-    monkeypatch.setattr(token_output, "MEMORY", 3)
+    monkeypatch.setattr(token_output, "MEMORY", 700)
     texts = ["the cat and the dog", None, "", "and the cat"] * 2
     assert split(*ENCODER.ids(pa.array(texts), 2)) == [plain_ids(t) for t in texts]
 
@@ -71,11 +71,41 @@ def expected(docs):
 @pytest.mark.parametrize("block", [1 << 18, 1000])
 def test_query_equals_the_library(spark, monkeypatch, block):
     monkeypatch.setattr(token_output, "BLOCK", block)
+    monkeypatch.setattr(token_output, "SHARD_BYTES", block << 4)
     docs = [tuple(r) for r in spark.read.parquet(f"{corpus.SF}/documents.parquet").select("doc_id", "text").collect()]
     found = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in op7_token_output(spark, corpus.SF).collect()}
     assert found == expected(docs)
 
 
+def test_a_third_without_ids_is_dealt_out(spark, folder, monkeypatch):
+    """Also where they are copies of one text, and where a third of all rows has one id."""
+    monkeypatch.setattr(token_output, "partitions", lambda spark: 12)
+    docs = spark.range(6000).selectExpr(
+        "case id % 3 when 0 then null when 1 then 7 else id end as doc_id", "if(id % 2 = 0, 'one and the same text', concat('text ', id)) as text"
+    )
+    write_tokens(docs, folder, vocabulary_path())
+    shards = [r.n for r in spark.read.parquet(f"{folder}/blocks").groupBy("shard").agg({"n_tokens": "sum"}).toDF("shard", "n").collect()]
+    assert len(shards) == 12 and max(shards) < 3 * sum(shards) / 12
+    rows = read_tokens(spark, folder, ids=False).collect()
+    assert sum(r.doc_id is None for r in rows) == 2000 and len(rows) == 6000
+    order = [(r.doc_id is not None, r.doc_id or 0) for r in sorted(rows, key=lambda r: r.start)]
+    assert order == sorted(order)
+
+
+def test_smallest_id_stays(spark, folder):
+    docs = spark.createDataFrame([(-(2**63), "a"), (None, "b"), (2**63 - 1, "c")], "doc_id long, text string")
+    write_tokens(docs, folder, vocabulary_path())
+    rows = sorted(read_tokens(spark, folder, ids=False).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == [None, -(2**63), 2**63 - 1]
+
+
+def test_counts_are_those_of_all_ids(spark):
+    docs = spark.read.parquet(f"{corpus.SF}/documents.parquet")
+    plain = token_output.tokenized(docs, vocabulary_path())
+    every = np.concatenate([plain_ids(r.text) for r in docs.collect()])
+    assert token_output.id_counts(plain).tolist() == np.bincount(every).tolist()
+
+
 def test_edges(spark, folder):
     write_tokens(corpus.edge_docs(spark), folder, vocabulary_path())
     rows = sorted(read_tokens(spark, folder).collect(), key=lambda r: r.start)
