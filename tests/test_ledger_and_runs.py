@@ -9,7 +9,8 @@ from viewlake.plans.refine import DIM_MEDIA, FACT
 from viewlake.plans.runs import Layout
 from viewlake.sources import ledger as L
 from viewlake.sources.landing import Extraction
-from viewlake.sources.reports import validated_input
+from viewlake.sources import storage
+from viewlake.sources.reports import read_report, validated_input
 from viewlake.sources.tables import read_table
 from viewlake.streaming.incremental import start_incremental
 
@@ -88,7 +89,7 @@ def test_runs_replay_correct_and_skip(spark, folder):
     def load(events, run_id, day=DAY):
         extraction = Extraction(run_id, NOW, day, day)
         runs.run_once(spark, layout, events, media, extraction, f"wf-{run_id}", NOW)
-        fact, _ = read_table(spark, layout.table("fact_media_engagement"), FACT.keys)
+        fact, _ = read_table(spark, layout.table("fact_media_engagement"))
         curated, _ = read_table(spark, layout.table("visitor_engagement"))
         return rows(fact), rows(curated.drop("ingestion_run_id", "data_through_date"))
 
@@ -101,10 +102,10 @@ def test_runs_replay_correct_and_skip(spark, folder):
     assert {r[3] for r in corrected[1]} == {0.25}
 
     # Nothing valid in the window: refined tables stay, the curated one is rebuilt.
-    before = read_table(spark, layout.table("dim_media"), DIM_MEDIA.keys)[1]
+    before = read_table(spark, layout.table("dim_media"))[1]
     nothing = load(wire(spark, share="7.0D"), "r3")
     assert nothing == corrected
-    assert read_table(spark, layout.table("dim_media"), DIM_MEDIA.keys)[1] == before
+    assert read_table(spark, layout.table("dim_media"))[1] == before
     book = L.read_ledger(spark, layout.ledger)
     found = L.run_properties(book, "wf-r3", ("DIM_MEDIA_ROW_COUNT", L.QUARANTINE_COUNT))
     assert found == {"DIM_MEDIA_ROW_COUNT": "0", L.QUARANTINE_COUNT: "40"}
@@ -119,15 +120,28 @@ def test_stream_loads_new_files_once(spark, folder):
 
     def stream():
         start_incremental(spark, layout, f"{folder}/cp", files_per_batch=2).awaitTermination()
-        return rows(read_table(spark, fact_root, FACT.keys)[0])
+        return rows(read_table(spark, fact_root)[0])
 
     land(wire(spark), "r1", DAY)
     batch = rows(FACT.build(wire(spark)))
     assert stream() == batch
-    version = read_table(spark, fact_root, FACT.keys)[1]
+    version = read_table(spark, fact_root)[1]
     assert version > 0  # several micro-batches
     assert stream() == batch
-    assert read_table(spark, fact_root, FACT.keys)[1] == version
+    assert read_table(spark, fact_root)[1] == version
+    book = L.read_ledger(spark, layout.ledger)
+    batches = [r[0] for r in book.select("workflow_run").distinct().collect()]
+    assert len(batches) == version + 1
+    reports = [L.run_properties(book, b, (L.REPORT_URI, L.VALID_COUNT)) for b in batches]
+    assert sum(int(r[L.VALID_COUNT]) for r in reports) == 40
+    files = [f for r in reports for f in read_report(spark, r[L.REPORT_URI]).first()["input_s3_uris"]]
+    assert len(files) == len(set(files)) == 3
+
+    # another checkpoint loads everything anew and overwrites nothing of the first query's
+    before = storage.matching(spark, f"{layout.validated}/stream=*/*/layer=raw/part-*")
+    start_incremental(spark, layout, f"{folder}/cp2").awaitTermination()
+    after = storage.matching(spark, f"{layout.validated}/stream=*/*/layer=raw/part-*")
+    assert set(before) < set(after) and rows(read_table(spark, fact_root)[0]) == batch
     late = DAY + dt.timedelta(days=1)
     land(wire(spark, 50, share="0.5D", day="2026-06-06"), "r2", late)
     found = stream()

@@ -3,16 +3,8 @@ import pytest
 from viewlake.errors import GateError, InputError
 from viewlake.operators.latest import latest_per_key
 from viewlake.operators.upsert import require_unique, upsert
-from viewlake.sources import storage
-from viewlake.sources.tables import (
-    compact_table,
-    open_upserts,
-    overwrite_table,
-    read_table,
-    remove_superseded,
-    table_exists,
-    upsert_table,
-)
+from viewlake.sources import storage, tables
+from viewlake.sources.tables import overwrite_table, read_table, table_exists, upsert_table
 
 SCHEMA = "k string, v int"
 
@@ -47,31 +39,66 @@ def test_table_life(spark, folder):
     assert upsert_table(spark.createDataFrame(first, SCHEMA), folder, ["k"]) == 2
     assert upsert_table(spark.createDataFrame([("b", 5), (None, 0)], SCHEMA), folder, ["k"]) == 2
     assert upsert_table(spark.createDataFrame([("c", 6), ("b", 7), (None, 0)], SCHEMA), folder, ["k"]) == 3
-    table, version = read_table(spark, folder, ["k"])
+    table, version = read_table(spark, folder)
     expected = rows(spark.createDataFrame([("a", 1), ("b", 7), ("c", 6), (None, 0), (None, 0)], SCHEMA))
-    assert (rows(table), version) == (expected, 2)
+    assert (rows(table), version, table.columns) == (expected, 2, ["k", "v"])
 
     assert upsert_table(empty, folder, ["k"]) == 0
-    assert read_table(spark, folder, ["k"])[1] == 2
-    with pytest.raises(InputError):
-        read_table(spark, folder)
-
-    assert compact_table(spark, folder, ["k"]) == 5
-    table, version = read_table(spark, folder)
-    assert (rows(table), version, open_upserts(spark, folder)) == (expected, 3, 0)
+    assert read_table(spark, folder)[1] == 2
 
     assert overwrite_table(spark.createDataFrame([], "k string, extra date"), folder) == 0
     table, version = read_table(spark, folder)
-    assert (table.columns, table.count(), version) == (["k", "extra"], 0, 4)
-
-
-def test_unfinished_writes_are_invisible_and_replaced(spark, folder):
-    upsert_table(spark.createDataFrame([("a", 1)], SCHEMA), folder, ["k"])
-    spark.createDataFrame([("z", 9)], SCHEMA).write.parquet(f"{folder}/upsert-0000000001")
-    storage.remove_folder(spark, f"{folder}/upsert-0000000001/_committed")
-    assert rows(read_table(spark, folder)[0]) == [("a", 1)]
-    upsert_table(spark.createDataFrame([("b", 2)], SCHEMA), folder, ["k"])
-    assert rows(read_table(spark, folder, ["k"])[0]) == [("a", 1), ("b", 2)]
+    assert (table.columns, table.count(), version) == (["k", "extra"], 0, 3)
+    with pytest.raises(InputError):
+        upsert_table(spark.createDataFrame([("a", None)], "k string, extra date"), folder, ["k"])
+
+
+def test_an_upsert_rewrites_only_the_buckets_it_touches(spark, folder):
+    everything = spark.range(2000).selectExpr("concat('k', id) k", "1 v")
+    upsert_table(everything, folder, ["k"], buckets=8)
+    before = set(storage.matching(spark, f"{folder}/rows-*/_bucket=*/part-*"))
+    assert len({f.split("_bucket=")[1].split("/")[0] for f in before}) == 8
+    upsert_table(spark.createDataFrame([("k17", 9)], SCHEMA), folder, ["k"])
+    after = set(storage.matching(spark, f"{folder}/rows-*/_bucket=*/part-*"))
+    touched = {f.split("_bucket=")[1].split("/")[0] for f in before ^ after}
+    assert len(touched) == 1
+    table = read_table(spark, folder)[0]
+    assert table.count() == 2000 and table.filter("v = 9").collect() == [("k17", 9)]
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_a_batch_may_be_made_from_the_table_itself(spark, folder):
+    upsert_table(spark.range(100).selectExpr("cast(id as string) k", "1 v"), folder, ["k"])
+    table, _ = read_table(spark, folder)
+    upsert_table(table.selectExpr("k", "v + 1 as v"), folder, ["k"])
+    assert read_table(spark, folder)[0].groupBy("v").count().collect() == [(2, 100)]
+
+
+@pytest.mark.parametrize("step", ["require_unique", "_require_schema", "upsert", "_log"])
+@pytest.mark.parametrize("exists", [True, False])
+def test_any_failure_leaves_the_table_as_it_was(spark, folder, monkeypatch, step, exists):
+    if not exists and step in ("_require_schema", "upsert"):
+        return  # not a step of a first load
+    old = [("a", 1), ("b", 2)]
+    if exists:
+        upsert_table(spark.createDataFrame(old, SCHEMA), folder, ["k"])
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("executors lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, step, broken)
+        with pytest.raises(RuntimeError):
+            upsert_table(spark.createDataFrame([("b", 5)], SCHEMA), folder, ["k"])
+    assert table_exists(spark, folder) == exists
+    if exists:
+        assert read_table(spark, folder)[1] == 0
+        if step != "_log":
+            assert rows(read_table(spark, folder)[0]) == old
+    # the same load, run again
+    assert upsert_table(spark.createDataFrame([("b", 5)], SCHEMA), folder, ["k"]) == 1
+    assert rows(read_table(spark, folder)[0]) == ([("a", 1)] if exists else []) + [("b", 5)]
 
 
 def test_a_batch_with_repeated_keys_or_other_columns_is_refused(spark, folder):
@@ -85,12 +112,13 @@ def test_a_batch_with_repeated_keys_or_other_columns_is_refused(spark, folder):
     assert not table_exists(spark, f"{folder}/new")
 
 
-def test_superseded_commits_go_by_an_explicit_call(spark, folder):
-    for v in (1, 2):
-        upsert_table(spark.createDataFrame([("a", v)], SCHEMA), folder, ["k"])
-    compact_table(spark, folder, ["k"])
-    assert remove_superseded(spark, folder) == 2
-    assert rows(read_table(spark, folder)[0]) == [("a", 2)]
+def test_an_overwrite_keeps_the_folder_that_readers_may_hold(spark, folder):
+    for v in (1, 2, 3):
+        overwrite_table(spark.createDataFrame([("a", v)], SCHEMA), folder)
+        if v == 2:
+            held, _ = read_table(spark, folder)
+    assert rows(held) == [("a", 2)] and rows(read_table(spark, folder)[0]) == [("a", 3)]
+    assert len(storage.matching(spark, f"{folder}/rows-*")) == 2
 
 
 def test_latest_per_key_orders_nulls_last_and_cuts_before_the_shuffle(spark):

@@ -1,11 +1,16 @@
 import datetime as dt
 import json
 
+import pytest
 from samples import line
 
+from viewlake.errors import GateError, InputError
+from viewlake.operators.lines import require_a_task_a_block
+from viewlake.plans.refine import fact_media_engagement, staged_events
 from viewlake.plans.runs import Layout, validate
+from viewlake.plans.validate import addressed_and_checked, routed_lines
 from viewlake.sources import storage
-from viewlake.sources.landing import Extraction, write_landing, write_manifest
+from viewlake.sources.landing import Extraction, landing_lines, read_manifest, write_landing, write_manifest
 from viewlake.sources.reports import read_report
 
 NOW = dt.datetime(2026, 6, 6, 2)
@@ -57,6 +62,51 @@ def test_routing_and_report(spark, folder):
     assert stored["input_s3_uris"] == report["input_s3_uris"]
 
 
+def test_the_raw_layer_needs_no_exchange_and_numbers_are_true(spark, folder, settings):
+    """Text in many blocks of several files; the number in a quarantined line is its place in its file."""
+    settings("spark.sql.autoBroadcastJoinThreshold", "-1")
+    settings("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    settings("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    settings("spark.sql.files.maxPartitionBytes", "16k")
+    layout = Layout(folder)
+    extraction = Extraction("r1", dt.datetime(2026, 6, 6, 1), DAY, DAY)
+    written = [line(event_key=f"k{i}") if i % 7 else f"broken {i}" + "x" * (i % 50) for i in range(2000)]
+    rows = spark.createDataFrame([("m1", i, t) for i, t in enumerate(written)], "media_id string, i int, value string")
+    results = write_landing(rows, layout.landing, ["m1"], extraction, order=["i"], compression="none")
+    manifest = write_manifest(results, layout.manifests, extraction)
+    lines = landing_lines(spark, read_manifest(spark, manifest).sources)
+    assert "Exchange" not in routed_lines(addressed_and_checked(lines))._jdf.queryExecution().executedPlan().toString()
+    report = validate(spark, layout, NOW, manifest_uri=manifest)
+    held = [json.loads(t) for t in texts(spark, report["quarantine_s3_uri"])]
+    assert len(held) == report["quarantined_record_count"] == 286
+    files = {r["source_s3_uri"] for r in held}
+    assert len(files) > 1 and max(r["source_line_number"] for r in held) > 200
+    landed = {f: texts(spark, f) for f in files}
+    assert all(landed[r["source_s3_uri"]][r["source_line_number"] - 1] == r["original_line"] for r in held)
+    assert not storage.exists(spark, report["raw_s3_uri"].replace("layer=raw", "layer=held"))
+
+
+def test_several_blocks_a_task_are_not_numbered(spark):
+    rows = spark.createDataFrame([("f", 0, 0), ("f", 9, 0)], "source_uri string, block_start int, task int")
+    with pytest.raises(InputError, match="several blocks"):
+        require_a_task_a_block(rows)
+
+
+def test_a_required_field_that_no_record_has_stops_the_load(spark, folder):
+    spark.createDataFrame([(line(country=...),), (line(country=None),)], "value string").write.text(f"{folder}/raw")
+    with pytest.raises(GateError, match="country"):
+        staged_events(spark, f"{folder}/raw", f"{folder}/events")
+
+
+def test_valid_times_have_a_date(spark, folder):
+    stamps = ["2026-06-05X12:30:00", "2026-06-05T12:30:00,5", "20260605T123000", "2026-W23-5", "2026-06-05T23:30-01:00"]
+    report = run(spark, folder, [line(event_key=f"e{i}", received_at=s) for i, s in enumerate(stamps)])
+    assert report["valid_record_count"] == len(stamps)
+    events = staged_events(spark, report["raw_s3_uri"], f"{folder}/events")
+    dates = [str(r["date"]) for r in fact_media_engagement(events).orderBy("event_id").collect()]
+    assert dates == ["2026-06-05"] * 4 + ["2026-06-06"]
+
+
 def test_no_quarantine_without_failures_even_after_a_bad_attempt(spark, folder):
     first = run(spark, folder, ["nonsense", line(new_field=1)])
     assert storage.exists(spark, first["quarantine_s3_uri"])

@@ -17,7 +17,7 @@ NO_NAMES = "cast(array() as array<string>)"
 RECEIVED_TEXT = "try_variant_get(top.received_at, '$', 'string')"
 
 #: Columns that tell where a line stands, in the message that stops a run.
-ADDRESS = ("source_uri", "line_number", "block_start", "row_id", "event_id")
+ADDRESS = ("source_uri", "block_start", "block_row", "event_id")
 
 
 def _issue(code: str, field: str, message: str) -> str:

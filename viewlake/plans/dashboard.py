@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from viewlake.operators.gates import require_watch_dates
-from viewlake.plans.refine import DIM_MEDIA, DIM_VISITORS
 from viewlake.plans.serve import enrich, media_labels, pipeline_freshness
 from viewlake.sources.tables import read_table
 
@@ -33,8 +32,8 @@ def load_dashboard(
     """Read the curated table and the dimensions that exist; broken watch dates fail."""
     engagement, version = read_table(spark, curated_root)
     require_watch_dates(engagement)
-    media = read_table(spark, media_root, DIM_MEDIA.keys)[0] if media_root else None
-    visitors = read_table(spark, visitors_root, DIM_VISITORS.keys)[0] if visitors_root else None
+    media = read_table(spark, media_root)[0] if media_root else None
+    visitors = read_table(spark, visitors_root)[0] if visitors_root else None
     enriched = enrich(engagement, media, visitors)
     return Dashboard(
         enriched,

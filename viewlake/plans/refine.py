@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from viewlake.functions.iso_time import iso_timestamp
@@ -117,8 +117,19 @@ REFINED = (DIM_MEDIA, DIM_VISITORS, FACT)
 
 
 def staged_events(spark: SparkSession, raw_uri: str, path: str) -> DataFrame:
-    """Raw lines parsed once into Parquet: three builds and a gate read columns of it."""
-    return stage(typed_events(raw_events(spark, raw_uri)), path)
+    """Raw lines parsed once into Parquet: three builds and a gate read columns of it.
+
+    Raw lines are read with a declared schema, in which no column is ever missing. So the values of each required field
+    are counted as they are written, and a field that no record has stops the stage.
+    """
+    seen = Observation()
+    events = typed_events(raw_events(spark, raw_uri))
+    observed = events.observe(seen, F.count("*").alias("records"), *[F.count(c).alias(c) for c in _USED])
+    staged = stage(observed, path)
+    counts = seen.get
+    if counts.get("records"):
+        require_columns([c for c in _USED if counts[c]], _USED, "Raw input")
+    return staged
 
 
 def build_table(events: DataFrame, table: RefinedTable) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewlake.plans.curate import visitor_engagement, with_audit
-from viewlake.plans.refine import FACT, REFINED, RefinedTable, build_table, staged_events
+from viewlake.plans.refine import REFINED, RefinedTable, build_table, staged_events
 from viewlake.plans.validate import run_validation
 from viewlake.session import new_folder
 from viewlake.sources import ledger as L
@@ -27,13 +27,7 @@ from viewlake.sources.landing import (
     write_manifest,
 )
 from viewlake.sources.reports import validated_input
-from viewlake.sources.tables import (
-    compact_table,
-    overwrite_table,
-    remove_superseded,
-    read_table,
-    upsert_table,
-)
+from viewlake.sources.tables import overwrite_table, read_table, upsert_table
 
 
 @dataclass(frozen=True)
@@ -105,19 +99,21 @@ def validate(
     book = L.read_ledger(spark, layout.ledger)
     found = L.resolve(book, workflow_run, (L.MANIFEST_URI,), {L.MANIFEST_URI: manifest_uri})
     report = run_validation(spark, found[L.MANIFEST_URI], layout.validated, validated_at)
-    _publish(
-        spark, layout, workflow_run, "validate",
-        {
-            L.REPORT_URI: report["report_s3_uri"],
-            L.TOTAL_COUNT: str(report["total_record_count"]),
-            L.VALID_COUNT: str(report["valid_record_count"]),
-            L.QUARANTINE_COUNT: str(report["quarantined_record_count"]),
-            L.MALFORMED_COUNT: str(report["malformed_record_count"]),
-        },
-    )
+    _publish(spark, layout, workflow_run, "validate", report_properties(report))
     return report
 
 
+def report_properties(report: Mapping) -> dict[str, str]:
+    """What the validation stage hands over."""
+    return {
+        L.REPORT_URI: report["report_s3_uri"],
+        L.TOTAL_COUNT: str(report["total_record_count"]),
+        L.VALID_COUNT: str(report["valid_record_count"]),
+        L.QUARANTINE_COUNT: str(report["quarantined_record_count"]),
+        L.MALFORMED_COUNT: str(report["malformed_record_count"]),
+    }
+
+
 def refine(
     spark: SparkSession,
     layout: Layout,
@@ -132,14 +128,18 @@ def refine(
     counts = dict.fromkeys((t.name for t in tables), 0)
     if source.valid_records:
         counts = refine_raw(spark, layout, source.raw_uri, tables)
-    for table in tables:
-        properties = L.table_properties(
-            table.name, layout.table(table.name), counts[table.name], found[L.RUN_ID]
-        )
-        _publish(spark, layout, workflow_run, table.name, properties)
+    publish_counts(spark, layout, workflow_run, counts, found[L.RUN_ID])
     return counts
 
 
+def publish_counts(
+    spark: SparkSession, layout: Layout, workflow_run: str | None, counts: Mapping[str, int], run_id: str
+) -> None:
+    for name, rows in counts.items():
+        properties = L.table_properties(name, layout.table(name), rows, run_id)
+        _publish(spark, layout, workflow_run, name, properties)
+
+
 def refine_raw(
     spark: SparkSession, layout: Layout, raw_uri: str, tables: Sequence[RefinedTable] = REFINED
 ) -> dict[str, int]:
@@ -155,18 +155,8 @@ def refine_raw(
 
 
 def load_table(rows: DataFrame, layout: Layout, table: RefinedTable) -> int:
-    return upsert_table(rows, layout.table(table.name), table.keys)
-
-
-def maintain(spark: SparkSession, layout: Layout, table: RefinedTable) -> int:
-    """Fold a table's upserts into one full commit and remove what it replaces; returns its rows.
-
-    Never part of a load: call it when no reader holds an earlier version.
-    """
-    root = layout.table(table.name)
-    rows = compact_table(spark, root, table.keys)
-    remove_superseded(spark, root)
-    return rows
+    """Upsert rows that a table's ``build`` has made, which have each key once."""
+    return upsert_table(rows, layout.table(table.name), table.keys, unique=True)
 
 
 def curate(
@@ -181,7 +171,7 @@ def curate(
     book = L.read_ledger(spark, layout.ledger)
     found = L.resolve_fact_run(book, workflow_run, given, data_through)
     through = iso_date("data_through", found[L.END_DATE]) if found[L.END_DATE] else None
-    fact, _ = read_table(spark, found[L.FACT_URI], FACT.keys)
+    fact, _ = read_table(spark, found[L.FACT_URI])
     rows = with_audit(visitor_engagement(fact), through, refreshed_at, found[L.RUN_ID])
     root = layout.table("visitor_engagement")
     count = overwrite_table(rows, root)

@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 
 from viewlake.functions import contract as C
 from viewlake.functions.rules import check_lines
-from viewlake.operators.lines import number_lines
+from viewlake.operators.lines import a_task_a_block, number_lines, require_a_task_a_block
 from viewlake.session import new_folder
 from viewlake.sources import storage
 from viewlake.sources.landing import landing_lines, read_manifest, utc_text
 from viewlake.sources.reports import write_report
 
 LAYERS = ("raw", "quarantine", "drift")
+#: Quarantined lines before they have their line number: address and text between tabs.
+HELD = "held"
+_HELD_FIELDS = ("source_uri", "block_start", "block_row", "task")
 
 
 @dataclass(frozen=True)
@@ -40,35 +43,41 @@ def _trimmed(line: Column) -> Column:
     return F.regexp_replace(line, r"[\r\n]+$", "")
 
 
-def envelope(run_id: str, validated_at: dt.datetime) -> Column:
-    """Quarantine row as JSON text, with the record spliced in as it was written.
+def held_line() -> Column:
+    """The first half of a quarantine row as JSON text behind the line's address; the record is as it was written.
 
     Serialising a parsed record again would change numbers such as ``1.0``.
     """
     head = F.to_json(F.struct(F.lit(C.CONTRACT_VERSION).alias("contract_version"), F.col("issues").alias("errors")))
-    tail = F.to_json(
-        F.struct(
-            F.lit(run_id).alias("ingestion_run_id"),
-            F.col("line_number").alias("source_line_number"),
-            F.col("source_uri").alias("source_s3_uri"),
-            F.lit(utc_text(validated_at)).alias("validated_at"),
-        )
-    )
     original = F.to_json(F.struct(F.make_valid_utf8(_trimmed(F.col("value"))).alias("original_line")))
     record = F.when(
         F.get(F.col("issues")["code"], F.lit(0)) == C.MALFORMED,
         F.substring(original, F.lit(2), F.length(original) - 2),
     ).otherwise(F.concat(F.lit('"event":'), _trimmed(F.col("value"))))
     opening = F.substring(head, F.lit(1), F.length(head) - 1)
-    return F.concat_ws(",", opening, record, F.substring(tail, F.lit(2), F.length(tail)))
+    address = [F.col(name).cast("string") for name in _HELD_FIELDS]
+    return F.concat_ws("\t", *address, F.concat_ws(",", opening, record))
+
+
+def quarantine_lines(held: DataFrame, run: ValidationRun) -> DataFrame:
+    """Whole quarantine rows from numbered ``(source_uri, line_number, text)``."""
+    tail = F.to_json(
+        F.struct(
+            F.lit(run.run_id).alias("ingestion_run_id"),
+            F.col("line_number").alias("source_line_number"),
+            F.col("source_uri").alias("source_s3_uri"),
+            F.lit(utc_text(run.validated_at)).alias("validated_at"),
+        )
+    )
+    return held.select(F.concat_ws(",", "text", F.substring(tail, F.lit(2), F.length(tail))).alias("line"))
 
 
-def routed_lines(checked: DataFrame, run_id: str, validated_at: dt.datetime) -> DataFrame:
-    """``(layer, line)``: each record goes to raw or quarantine, each unknown path to drift."""
+def routed_lines(checked: DataFrame) -> DataFrame:
+    """``(layer, line)``: each record is raw or held for quarantine, each unknown path goes to drift."""
     main = F.when(
         F.col("is_valid"), F.struct(F.lit("raw").alias("layer"), _trimmed(F.col("value")).alias("line"))
     ).otherwise(
-        F.struct(F.lit("quarantine").alias("layer"), envelope(run_id, validated_at).alias("line"))
+        F.struct(F.lit(HELD).alias("layer"), held_line().alias("line"))
     )
     drift = F.transform(
         "unknown_fields",
@@ -113,35 +122,59 @@ def unknown_field_counts(checked: DataFrame) -> DataFrame:
     return paths.groupBy("path").agg(F.count("*").alias("record_count"))
 
 
-def numbered_and_checked(lines: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Line numbers and verdicts for lines with their address (see ``landing_lines``).
+def addressed_and_checked(lines: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Verdicts for lines with their address (see ``landing_lines``).
 
     ``partitions`` deals the lines out anew, for files of other writers that are large and cannot be split.
     """
-    numbered = number_lines(lines, new_folder(lines.sparkSession, "blocks"))
-    return check_lines(numbered.repartition(partitions) if partitions else numbered)
+    addressed = lines.withColumn("task", F.spark_partition_id())
+    return check_lines(addressed.repartition(partitions) if partitions else addressed)
 
 
-def write_layers(checked: DataFrame, run: ValidationRun) -> dict[str, int]:
-    """Write all layers in one pass and return the run counts.
+def write_layers(checked: DataFrame, run: ValidationRun) -> dict:
+    """Write all layers and return the run counts and the ``sources`` that had lines.
 
-    The counts are observed in the stage that writes, which counts every partition
-    once even if its task ran several times. The run folder is replaced as a whole, so
-    a repeated run leaves no trace of an earlier attempt.
+    One pass without a shuffle writes raw lines and drift, and holds the quarantined lines with their address. Only
+    those are numbered then (see ``number_lines``) and written into the quarantine layer. The counts are observed in the
+    stage that writes, which counts every partition once even if its task ran several times. The run folder is
+    replaced as a whole, so a repeated run leaves no trace of an earlier attempt.
     """
     spark = checked.sparkSession
     counts = Observation()
-    observed = checked.observe(counts, *count_columns(), *code_counts())
-    (
-        routed_lines(observed, run.run_id, run.validated_at)
-        .write.mode("overwrite")
-        .partitionBy("layer")
-        .option("compression", "gzip")
-        .text(run.base)
-    )
-    # Raw exists even without valid records; quarantine only if something failed.
-    storage.make_folder(spark, run.layer("raw"))
-    return {name: value or 0 for name, value in counts.get.items()}
+    # the files of a run are named in its report, so their list is as bounded as that
+    sources = F.array_sort(F.collect_set("source_uri")).alias("sources")
+    observed = checked.observe(counts, *count_columns(), *code_counts(), sources)
+    with a_task_a_block(spark):
+        (
+            routed_lines(observed)
+            .write.mode("overwrite")
+            .partitionBy("layer")
+            .option("compression", "gzip")
+            .text(run.base)
+        )
+    found = dict(counts.get)
+    seen = found.pop("sources", None) or []
+    totals = {name: value or 0 for name, value in found.items()}
+    # Raw has a file even without valid records; quarantine is there only if something failed.
+    if not totals.get("valid"):
+        storage.make_file(spark, f"{run.layer('raw')}/part-none.txt")
+    if totals.get("quarantined"):
+        _write_quarantine(spark, run)
+    return {**totals, "sources": list(seen)}
+
+
+def _write_quarantine(spark: SparkSession, run: ValidationRun) -> None:
+    """Number the held lines and write them as quarantine rows."""
+    parts = F.split("value", "\t", len(_HELD_FIELDS) + 1)
+    rows = spark.read.option("lineSep", "\n").text(run.layer(HELD)).select(parts.alias("part"))
+    names = dict(zip((*_HELD_FIELDS, "text"), ("string", "bigint", "bigint", "int", "string"), strict=True))
+    held = rows.select(*[F.col("part")[i].cast(kind).alias(name) for i, (name, kind) in enumerate(names.items())])
+    require_a_task_a_block(held)
+    blocks = new_folder(spark, "blocks")
+    numbered = number_lines(held.drop("task"), blocks)
+    quarantine_lines(numbered, run).write.mode("overwrite").option("compression", "gzip").text(run.layer("quarantine"))
+    storage.remove_folder(spark, run.layer(HELD))
+    storage.remove_folder(spark, blocks)
 
 
 def drift_table(spark: SparkSession, run: ValidationRun) -> tuple[DataFrame, str]:
@@ -168,14 +201,14 @@ def run_validation(
     manifest = read_manifest(spark, manifest_uri)
     partition = f"extraction_date={manifest.extraction_date}/run_id={manifest.run_id}"
     run = ValidationRun(root, manifest.run_id, partition, validated_at)
-    counts = write_layers(numbered_and_checked(landing_lines(spark, manifest.sources)), run)
+    counts = write_layers(addressed_and_checked(landing_lines(spark, manifest.sources)), run)
     return finish_report(spark, run, counts, manifest_uri, manifest.sources, job_name)
 
 
 def finish_report(
     spark: SparkSession,
     run: ValidationRun,
-    counts: dict[str, int],
+    counts: dict,
     manifest_uri: str,
     sources: list[str],
     job_name: str,

@@ -1,95 +1,112 @@
-"""Versioned tables on plain Parquet.
+"""Tables on plain Parquet: a snapshot folder, keyed upserts by hash bucket, and a log of the loads.
 
-A table folder holds one sub-folder per commit: ``full-<n>`` replaces everything before
-it, ``upsert-<n>`` holds the rows of one keyed upsert. A commit counts once its
-``_committed`` file is there, which is written after the data has been checked: readers
-never see half a write, and a failed or refused write leaves the table as it was. An upsert costs what its batch costs; readers fold the
-batches into the last full commit with one anti join.
+A table's rows lie in one folder, partitioned by a hash of the key. An upsert joins the batch with the buckets it touches
+and replaces those by dynamic partition overwrite, so that reading needs no join. An overwrite writes a new folder. The
+last row of the log says which folder counts and which version it is; it is appended when a load has succeeded.
 
-One writer per table at a time.
+One writer per table at a time. A load that fails before Spark publishes its files changes nothing. Should a driver die
+while buckets are being moved in, some hold the new rows and some the old ones: the same load, run again, gives the rows it
+would have given.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from viewlake.errors import GateError, InputError
-from viewlake.operators.latest import latest_per_key
 from viewlake.operators.upsert import require_unique, upsert
+from viewlake.session import new_folder, stage
 from viewlake.sources import storage
 
+LOADS_SCHEMA = "version bigint, folder string, buckets int, row_count bigint, loaded_at timestamp"
+#: Buckets of a new table. A bucket is the least that an upsert rewrites; a large one is written as several files.
+BUCKETS = 16
+BUCKET = "_bucket"
 
-MARKER = "_committed"
 
+def _last_load(spark: SparkSession, root: str) -> Row | None:
+    if not storage.exists(spark, f"{root}/loads"):
+        return None
+    loads = spark.read.schema(LOADS_SCHEMA).parquet(f"{root}/loads")
+    return loads.orderBy(F.desc("version")).first()
 
-@dataclass(frozen=True)
-class _Commit:
-    version: int
-    kind: str
-    path: str
 
-
-def _commits(spark: SparkSession, root: str) -> list[_Commit]:
-    found = []
-    for marker in storage.matching(spark, f"{root}/*-*/{MARKER}"):
-        path = marker.rpartition("/")[0]
-        kind, _, number = path.rpartition("/")[2].partition("-")
-        found.append(_Commit(int(number), kind, path))
-    return sorted(found, key=lambda c: c.version)
+def _log(spark: SparkSession, root: str, load: tuple[int, str, int, int]) -> None:
+    row = [(*load, dt.datetime.now(dt.timezone.utc))]
+    spark.createDataFrame(row, LOADS_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/loads")
 
 
 def table_exists(spark: SparkSession, root: str) -> bool:
-    return bool(_commits(spark, root))
+    return _last_load(spark, root) is not None
 
 
-def _write(df: DataFrame, root: str, kind: str) -> _Commit:
-    spark = df.sparkSession
-    done = _commits(spark, root)
-    version = done[-1].version + 1 if done else 0
-    path = f"{root}/{kind}-{version:010d}"
-    df.write.mode("overwrite").parquet(path)
-    return _Commit(version, kind, path)
+def _rows(spark: SparkSession, path: str) -> int:
+    """Row count from the footers of the files just written: exact after retries too."""
+    return spark.read.parquet(path).count()
 
 
-def _rows(spark: SparkSession, commit: _Commit) -> int:
-    """Row count from the footers of the files just written: exact after retries too."""
-    return spark.read.parquet(commit.path).count()
+def _bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias(BUCKET)
 
 
 def overwrite_table(df: DataFrame, root: str) -> int:
-    """Replace content and schema in one commit, also by zero rows."""
-    commit = _write(df, root, "full")
-    storage.make_file(df.sparkSession, f"{commit.path}/{MARKER}")
-    return _rows(df.sparkSession, commit)
+    """Replace content and schema, also by zero rows. The folder before the last one is removed; readers of the last go on."""
+    spark = df.sparkSession
+    last = _last_load(spark, root)
+    version = last["version"] + 1 if last else 0
+    folder = f"rows-{version:010d}"
+    df.write.mode("overwrite").parquet(f"{root}/{folder}")
+    rows = _rows(spark, f"{root}/{folder}")
+    _log(spark, root, (version, folder, 0, rows))
+    for path in storage.matching(spark, f"{root}/rows-*"):
+        if path.rpartition("/")[2] not in (folder, last and last["folder"]):
+            storage.remove_folder(spark, path)
+    return rows
 
 
-def upsert_table(source: DataFrame, root: str, keys: Sequence[str]) -> int:
+def upsert_table(
+    source: DataFrame, root: str, keys: Sequence[str], unique: bool = False, buckets: int = BUCKETS
+) -> int:
     """Insert new keys and replace matching rows; an empty source changes nothing.
 
-    A key that the source holds twice, or columns other than the table's, refuse the batch
-    as a whole: it is checked as it was written, before it counts.
+    A key that the source holds twice, or columns other than the table's, refuse the batch as a whole before anything of
+    the table changes. ``unique`` says that the source has each key once by construction, which saves the check.
     """
     spark = source.sparkSession
-    done = _commits(spark, root)
-    commit = _write(source, root, "upsert" if done else "full")
-    batch = spark.read.parquet(commit.path)
-    rows = batch.count()
+    last = _last_load(spark, root)
+    buckets = last["buckets"] if last else buckets
+    if not buckets:
+        raise InputError(f"{root} is rebuilt as a whole and takes no upserts.")
+    staged = new_folder(spark, "batch")
     try:
-        if done:
-            _require_schema(batch, spark.read.parquet(done[-1].path), root)
-        require_unique(batch, keys, f"The batch for {root}")
-    except GateError:
-        rows = 0
-        raise
+        batch = stage(source.select("*", _bucket(keys, buckets)), staged)
+        rows = _rows(spark, staged)
+        if not rows:
+            return 0
+        if last:
+            current = spark.read.parquet(f"{root}/{last['folder']}")
+            _require_schema(batch, current, root)
+        if not unique:
+            require_unique(batch, keys, f"The batch for {root}")
+        merged = batch
+        if last:
+            touched = [r[0] for r in batch.select(BUCKET).distinct().collect()]  # at most one row a bucket
+            merged = upsert(current.filter(F.col(BUCKET).isin(touched)), batch, [*keys, BUCKET])
+        folder = last["folder"] if last else "rows-0000000000"
+        (
+            merged.hint("rebalance", BUCKET)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(BUCKET)
+            .parquet(f"{root}/{folder}")
+        )
     finally:
-        if rows:
-            storage.make_file(spark, f"{commit.path}/{MARKER}")
-        else:
-            storage.remove_folder(spark, commit.path)
+        storage.remove_folder(spark, staged)
+    _log(spark, root, (last["version"] + 1 if last else 0, folder, buckets, rows))
     return rows
 
 
@@ -99,52 +116,9 @@ def _require_schema(batch: DataFrame, table: DataFrame, root: str) -> None:
         raise GateError(f"The batch for {root} differs in: {odd}.")
 
 
-def read_table(
-    spark: SparkSession, root: str, keys: Sequence[str] = ()
-) -> tuple[DataFrame, int]:
-    """Current rows and version. ``keys`` is needed once a table has upserts."""
-    commits = _commits(spark, root)
-    if not commits:
-        raise InputError(f"No committed table at {root}.")
-    start = max(i for i, c in enumerate(commits) if c.kind == "full")
-    table = spark.read.parquet(commits[start].path)
-    batches = commits[start + 1 :]
-    if batches:
-        if not keys:
-            raise InputError(f"The key columns of {root} are needed to read its upserts.")
-        table = upsert(table, _newest_rows(spark, batches, keys), keys)
-    return table, commits[-1].version
-
-
-def _newest_rows(
-    spark: SparkSession, batches: Sequence[_Commit], keys: Sequence[str]
-) -> DataFrame:
-    if len(batches) == 1:
-        return spark.read.parquet(batches[0].path)
-    version = F.regexp_extract("_metadata.file_path", r"upsert-(\d+)/[^/]+$", 1).cast("long")
-    rows = spark.read.parquet(*[b.path for b in batches]).withColumn("_version", version)
-    without_key = " OR ".join(f"`{k}` IS NULL" for k in keys)
-    keyed = latest_per_key(rows.filter(f"NOT ({without_key})"), keys, ["_version"])
-    # Rows without a key never match, so each of them stays.
-    return keyed.unionByName(rows.filter(without_key)).drop("_version")
-
-
-def open_upserts(spark: SparkSession, root: str) -> int:
-    """Upserts since the last full commit."""
-    kinds = [commit.kind for commit in _commits(spark, root)]
-    return len(kinds) - 1 - max((i for i, k in enumerate(kinds) if k == "full"), default=-1)
-
-
-def compact_table(spark: SparkSession, root: str, keys: Sequence[str]) -> int:
-    """Write the folded table as one full commit, so that later reads need no join."""
-    table, _ = read_table(spark, root, keys)
-    return overwrite_table(table, root)
-
-
-def remove_superseded(spark: SparkSession, root: str) -> int:
-    """Remove the commits before the last full one; returns how many."""
-    commits = _commits(spark, root)
-    last = max((i for i, c in enumerate(commits) if c.kind == "full"), default=0)
-    for commit in commits[:last]:
-        storage.remove_folder(spark, commit.path)
-    return last
+def read_table(spark: SparkSession, root: str) -> tuple[DataFrame, int]:
+    """Current rows and version."""
+    last = _last_load(spark, root)
+    if last is None:
+        raise InputError(f"No table at {root}.")
+    return spark.read.parquet(f"{root}/{last['folder']}").drop(BUCKET), last["version"]

@@ -13,8 +13,7 @@ from viewlake.plans.curate import visitor_engagement
 from viewlake.plans.refine import dim_media, dim_visitors, fact_media_engagement
 from viewlake.plans.serve import enrich
 
-MEDIA_IDS = ["m0", "m1", "m2", "m3", "m4"]
-FIRST_DAY, LAST_DAY = dt.date(2024, 1, 1), dt.date(2024, 1, 31)
+LAST_DAY = dt.date(2024, 1, 31)  # parameter: the day through which a dashboard's data reaches
 
 # A first load up to and including one day, and a later correction from another day on.
 LOADED_THROUGH = dt.date(2024, 1, 20)
@@ -36,6 +35,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@dataclass(frozen=True)
+class Scope:
+    """What there is to extract: the media of the events, from the first to the last day."""
+
+    media_ids: list[str]
+    first: dt.date
+    last: dt.date
+
+
+def scope(spark: SparkSession, sf_dir: str) -> Scope:
+    media = F.concat(F.lit("m"), (content_key() % 5).cast("string"))
+    found = table(spark, sf_dir, "events").agg(
+        F.array_sort(F.collect_set(media)).alias("media"),
+        F.to_date(F.min("ts")).alias("first"),
+        F.to_date(F.max("ts")).alias("last"),
+    ).first()
+    today = dt.date.today()
+    return Scope(found["media"], found["first"] or today, found["last"] or today)
+
+
 def content_key() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 

@@ -217,9 +217,9 @@ def oracle_sql() -> dict[str, str]:
             from verdict where issue_count = 0""",
         "route_quarantine": f"""with {_FAULTS}
             select '2026-03-v1' contract_version, 'run-0001' ingestion_run_id, media_id,
-              issues errors, k not in (1, 2, 3) has_event, k in (1, 2, 3) has_line,
-              true is_numbered
-            from verdict where issue_count > 0""",
+              issues errors, k not in (1, 2, 3) has_event, k in (1, 2, 3) has_line, line_number
+            from (select *, row_number() over (partition by media_id order by event_id) line_number
+                  from verdict) where issue_count > 0""",
         "validation_report": f"""with {_FAULTS}
             select 'records' section, 'total' as name, count(*) records from verdict
             union all select 'records', 'valid', count(*) from verdict where issue_count = 0
@@ -356,7 +356,8 @@ def oracle_sql() -> dict[str, str]:
                 l_extendedprice desc, l_discount desc, l_tax desc, l_returnflag desc,
                 l_linestatus desc) = 1""",
         # ---- runs
-        "replay_idempotent": _model(f"""{_VE_ROUNDED}, date '2024-01-31' data_through_date,
+        "replay_idempotent": _model(f"""{_VE_ROUNDED},
+            (select cast(max(ts) as date) from events) data_through_date,
             'run-0001' ingestion_run_id from ve"""),
         "backfill_recompute": f"""with {_LOADS}, old as ({_fact("load1")}),
             new as ({_fact("load2")}),
@@ -364,4 +365,7 @@ def oracle_sql() -> dict[str, str]:
             ve as ({_engagement("merged")})
             {_VE_ROUNDED} from ve""",
         "stream_incremental": f"with {_WIRE} {_fact('good')}",
+        "stream_reports": f"""with {_FAULTS} select count(*) total, count(*) filter (issue_count = 0) valid,
+            count(*) filter (issue_count > 0) quarantined, count(*) filter (k in (1, 2, 3)) malformed,
+            count(*) published, true each_file_once, true each_run_once from verdict""",
     }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from viewlake.functions import contract as C
@@ -14,14 +14,14 @@ from viewlake.functions.rules import check_lines
 from viewlake.operators import gates
 from viewlake.operators.filters import by_date_overlap, by_membership
 from viewlake.operators.latest import latest_per_key
-from viewlake.operators.lines import number_lines
+from viewlake.operators.lines import a_task_a_block, number_lines
 from viewlake.operators.upsert import repeated_keys, upsert
 from viewlake.plans import refine, runs, serve
 from viewlake.plans import validate as checks
 from viewlake.plans.curate import visitor_engagement, with_audit
 from viewlake.plans.dashboard import load_dashboard
 from viewlake.plans.runs import Layout
-from viewlake.session import configure, new_folder
+from viewlake.session import configure, new_folder, stage
 from viewlake.sources import ledger as L
 from viewlake.sources.landing import (
     MANIFEST_MEMBERS,
@@ -88,18 +88,21 @@ def _extraction(start: dt.date, end: dt.date, run_id: str = RUN_ID) -> Extractio
 
 
 def _land_events(spark: SparkSession, sf_dir: str, name: str) -> tuple[Layout, str]:
-    """Land every event of the whole period; return the folders and the manifest."""
+    """Land every event of the table's media and days; return the folders and the manifest."""
     layout = _layout(spark, name)
-    period = _extraction(B.FIRST_DAY, B.LAST_DAY)
+    scope = B.scope(spark, sf_dir)
     events = B.plain_events(spark, sf_dir)
-    return layout, runs.land(spark, layout, events, B.MEDIA_IDS, period)
+    return layout, runs.land(spark, layout, events, scope.media_ids, _extraction(scope.first, scope.last))
 
 
-def _land_faulty(spark: SparkSession, sf_dir: str, name: str) -> tuple[Layout, str]:
+def _land_faulty(
+    spark: SparkSession, sf_dir: str, name: str, order: tuple[str, ...] = ()
+) -> tuple[Layout, str]:
     layout = _layout(spark, name)
-    period = _extraction(B.FIRST_DAY, B.LAST_DAY)
+    scope = B.scope(spark, sf_dir)
+    period = _extraction(scope.first, scope.last)
     lines = B.faulty_lines(spark, sf_dir)
-    results = write_landing(lines, layout.landing, B.MEDIA_IDS, period)
+    results = write_landing(lines, layout.landing, scope.media_ids, period, order=order)
     return layout, write_manifest(results, layout.manifests, period)
 
 
@@ -125,7 +128,9 @@ def scan_landing_lines(spark, sf_dir):
 def line_lineage(spark, sf_dir):
     _, manifest = _land_events(spark, sf_dir, "lineage")
     lines = landing_lines(spark, read_manifest(spark, manifest).sources)
-    numbered = number_lines(lines, new_folder(spark, "blocks"))
+    with a_task_a_block(spark):
+        addressed = stage(lines.drop("value"), new_folder(spark, "lineage"))
+    numbered = number_lines(addressed, new_folder(spark, "blocks"))
     files = numbered.groupBy("source_uri").agg(
         F.count("*").alias("line_count"),
         F.count_distinct("line_number").alias("distinct_numbers"),
@@ -166,7 +171,7 @@ def read_table_version(spark, sf_dir):
     fact = refine.FACT
     upsert_table(fact.build(B.first_load(events)), root, fact.keys)
     upsert_table(fact.build(B.correction(events)), root, fact.keys)
-    rows, version = read_table(spark, root, fact.keys)
+    rows, version = read_table(spark, root)
     return rows.agg(F.count("*").alias("row_count")).withColumn("version", F.lit(version))
 
 
@@ -218,7 +223,13 @@ def route_valid(spark, sf_dir):
 
 @query
 def route_quarantine(spark, sf_dir):
-    report = _validate_faulty(spark, sf_dir, "quarantine")
+    """With the line number a line has among its media's, as the lines were landed by event."""
+    layout, manifest = _land_faulty(spark, sf_dir, "quarantine", order=("event_id",))
+    files = landing_lines(spark, read_manifest(spark, manifest).sources).groupBy("source_uri").agg(F.count("*").alias("n"))
+    media = F.regexp_extract("source_uri", "media_id=([^/]+)/", 1)
+    earlier = Window.partitionBy(media).orderBy("source_uri").rowsBetween(Window.unboundedPreceding, -1)
+    before = files.select("source_uri", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    report = runs.validate(spark, layout, EXTRACTED_AT, manifest_uri=manifest)
     rows = spark.read.text(report["quarantine_s3_uri"]).select(
         F.from_json(
             "value",
@@ -229,14 +240,14 @@ def route_quarantine(spark, sf_dir):
         F.col("value").contains('"event":').alias("has_event"),
     )
     labels = F.transform("row.errors", lambda e: F.concat_ws(":", e["code"], e["field"]))
-    return rows.select(
+    return rows.join(before, F.col("row.source_s3_uri") == F.col("source_uri"), "left").select(
         "row.contract_version",
         "row.ingestion_run_id",
         F.regexp_extract("row.source_s3_uri", "media_id=([^/]+)/", 1).alias("media_id"),
         F.array_join(labels, ",").alias("errors"),
         "has_event",
         F.col("row.original_line").isNotNull().alias("has_line"),
-        (F.col("row.source_line_number") >= 1).alias("is_numbered"),
+        (F.col("before") + F.col("row.source_line_number")).alias("line_number"),
     )
 
 
@@ -517,9 +528,9 @@ def zero_valid_noop(spark, sf_dir):
     fact = refine.FACT
     rows = fact.build(B.valid_events(spark, sf_dir))
     loaded = upsert_table(rows, root, fact.keys)
-    table, before = read_table(spark, root, fact.keys)
+    table, before = read_table(spark, root)
     empty = upsert_table(table.filter(F.col("watched_percent") > 1), root, fact.keys)
-    table, after = read_table(spark, root, fact.keys)
+    table, after = read_table(spark, root)
     return table.agg(F.count("*").alias("row_count")).select(
         F.lit(loaded).cast("bigint").alias("loaded"),
         F.lit(empty).cast("bigint").alias("added"),
@@ -734,10 +745,11 @@ def dedup_latest_lineitem(spark, sf_dir):
 def replay_idempotent(spark, sf_dir):
     """The same run twice, from landing to the curated table."""
     layout = _layout(spark, "replay")
-    period = _extraction(B.FIRST_DAY, B.LAST_DAY)
+    scope = B.scope(spark, sf_dir)
+    period = _extraction(scope.first, scope.last)
     for _ in range(2):
         runs.run_once(
-            spark, layout, B.plain_events(spark, sf_dir), B.MEDIA_IDS, period, "wf-1", EXTRACTED_AT
+            spark, layout, B.plain_events(spark, sf_dir), scope.media_ids, period, "wf-1", EXTRACTED_AT
         )
     rows, _ = read_table(spark, layout.table("visitor_engagement"))
     return rounded(rows.drop("pipeline_refreshed_at"), "avg_pct_viewed")
@@ -751,7 +763,7 @@ def backfill_recompute(spark, sf_dir):
     fact = refine.FACT
     for load in (B.first_load(events), B.correction(events)):
         runs.load_table(fact.build(load), layout, fact)
-    rows, _ = read_table(spark, layout.table(fact.name), fact.keys)
+    rows, _ = read_table(spark, layout.table(fact.name))
     return rounded(visitor_engagement(rows), "avg_pct_viewed")
 
 
@@ -760,5 +772,32 @@ def stream_incremental(spark, sf_dir):
     """Landed files loaded by a stream give the facts of the batch build."""
     layout, _ = _land_events(spark, sf_dir, "stream")
     start_incremental(spark, layout, f"{layout.root}/checkpoint").awaitTermination()
-    fact = refine.FACT
-    return read_table(spark, layout.table(fact.name), fact.keys)[0]
+    return read_table(spark, layout.table(refine.FACT.name))[0]
+
+
+@query
+def stream_reports(spark, sf_dir):
+    """What the reports and the ledger of a stream over faulty lines say, and whether they name each file once."""
+    layout, manifest = _land_faulty(spark, sf_dir, "stream_reports")
+    landed = landing_lines(spark, read_manifest(spark, manifest).sources).agg(
+        F.count_distinct("source_uri").alias("files")
+    )
+    start_incremental(spark, layout, f"{layout.root}/checkpoint", files_per_batch=3).awaitTermination()
+    reports = read_report(spark, f"{layout.validated}_reports/*/*")
+    counted = ["total", "valid", "quarantined", "malformed"]
+    totals = reports.agg(
+        *[F.sum(f"{name}_record_count").alias(name) for name in counted],
+        F.sum(F.size("input_s3_uris")).alias("named"),
+        F.count_distinct("ingestion_run_id").alias("runs"),
+        F.count("*").alias("reports"),
+    )
+    ledger = L.read_ledger(spark, layout.ledger)
+    published = L.latest_properties(ledger).groupBy("key").agg(F.sum(F.col("value").try_cast("bigint")).alias("n"))
+    found = published.filter(F.col("key").isin(L.VALID_COUNT, L.QUARANTINE_COUNT)).agg(
+        F.sum("n").alias("published"), F.count("*").alias("keys")
+    )
+    parts = totals.unionByName(landed, allowMissingColumns=True).unionByName(found, allowMissingColumns=True)
+    return parts.agg(*[F.max(c).alias(c) for c in parts.columns]).select(
+        *counted, "published", (F.col("named") == F.col("files")).alias("each_file_once"),
+        ((F.col("runs") == F.col("reports")) & (F.col("keys") == 2)).alias("each_run_once"),
+    )
