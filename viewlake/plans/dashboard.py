@@ -34,7 +34,7 @@ def load_dashboard(
     require_watch_dates(engagement)
     media = read_table(spark, media_root)[0] if media_root else None
     visitors = read_table(spark, visitors_root)[0] if visitors_root else None
-    enriched = enrich(engagement, media, visitors)
+    enriched = enrich(engagement, media, visitors, unique=True)
     return Dashboard(
         enriched,
         media_labels(enriched),

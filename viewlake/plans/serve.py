@@ -35,43 +35,57 @@ def normalized_engagement(engagement: DataFrame) -> DataFrame:
     return engagement.withColumns(changes)
 
 
-def _look_up(rows: DataFrame, dimension: DataFrame, key: str, columns: list[str]) -> DataFrame:
+def _look_up(
+    rows: DataFrame, dimension: DataFrame, key: str, columns: list[str], unique: bool, hot: bool
+) -> DataFrame:
     """Left-join one dimension row per key.
 
-    Nothing is hinted: Spark broadcasts the dimension only while its measured size is
-    below the threshold, and otherwise shuffles both sides. Adaptive execution splits a
-    hot key only between two plain shuffles, so the dimension is joined by a computed
-    key: without it the join would reuse the partitions of the deduplication and a hot
-    key would stay in one task.
+    Nothing is hinted: Spark broadcasts the dimension only while its measured size is below the threshold, and otherwise
+    shuffles both sides. A dimension that is unique by construction joins as it lies, so its side has one exchange
+    at most. Adaptive execution splits a hot key only between two plain shuffles, so a dimension whose keys are hot in
+    ``rows`` is joined by a computed key: without it the join would reuse the partitions that made the dimension unique
+    and a hot key would stay in one task.
     """
     others = [c for c in columns if c != key]
-    unique = latest_per_key(dimension.select(*columns), [key], others)
+    dimension = dimension.select(*columns)
+    if unique and not hot:
+        return rows.join(dimension, key, "left").select(*rows.columns, *others)
+    unique = dimension if unique else latest_per_key(dimension, [key], others)
     unique = unique.select(F.concat(F.col(key).cast("string"), F.lit("")).alias("_key"), *others)
     return rows.join(unique, rows[key] == unique["_key"], "left").drop("_key")
 
 
 def enrich(
-    engagement: DataFrame, media: DataFrame | None = None, visitors: DataFrame | None = None
+    engagement: DataFrame,
+    media: DataFrame | None = None,
+    visitors: DataFrame | None = None,
+    unique: bool = False,
 ) -> DataFrame:
-    """Left-join the dimensions that exist; name what is missing "Unknown"."""
+    """Left-join the dimensions that exist; name what is missing "Unknown".
+
+    ``unique`` says that each dimension has a key once, as those have that this package builds or stores.
+    """
     enriched = normalized_engagement(engagement)
     if media is not None:
         require_columns(media.columns, ("media_id", "title", "channel"), "dim_media")
         columns = ["media_id", "title", "channel"] + (["url"] if "url" in media.columns else [])
-        enriched = _look_up(enriched, media, "media_id", columns)
+        enriched = _look_up(enriched, media, "media_id", columns, unique, hot=True)
     else:
         enriched = enriched.withColumns({"title": F.col("media_id"), "channel": F.lit(UNKNOWN)})
     if visitors is not None:
         columns = ["visitor_id", "ip_address", "country"]
         require_columns(visitors.columns, columns, "dim_visitors")
-        enriched = _look_up(enriched, visitors, "visitor_id", columns)
+        enriched = _look_up(enriched, visitors, "visitor_id", columns, unique, hot=False)
     else:
         enriched = enriched.withColumns({"ip_address": F.lit(UNKNOWN), "country": F.lit(UNKNOWN)})
     return enriched.na.fill(UNKNOWN, subset=["title", "channel", "country", "ip_address"])
 
 
 def kpis(filtered: DataFrame) -> DataFrame:
-    """Audience totals. Visitors are collapsed first: one shuffle, no row expansion."""
+    """Audience totals. Visitors are collapsed first: one shuffle, no row expansion.
+
+    They need no dimension; without a filter on one, give them ``normalized_engagement``.
+    """
     per_visitor = filtered.groupBy("visitor_id").agg(
         F.sum("total_views").alias("views"),
         F.sum(F.col("avg_pct_viewed") * F.col("total_views")).alias("weighted"),

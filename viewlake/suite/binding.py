@@ -123,7 +123,7 @@ class Model:
     engagement: DataFrame
 
     def enriched(self) -> DataFrame:
-        return enrich(self.engagement, self.media, self.visitors)
+        return enrich(self.engagement, self.media, self.visitors, unique=True)
 
 
 def model(spark: SparkSession, sf_dir: str) -> Model:

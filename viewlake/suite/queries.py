@@ -32,6 +32,7 @@ from viewlake.sources.landing import (
     manifest_sources,
     raw_events,
     read_manifest,
+    read_request,
     write_landing,
     write_manifest,
 )
@@ -45,8 +46,8 @@ _QUERIES: dict[str, Query] = {}
 
 # Parameters of the queries: the window and media of the extract, the dashboard's
 # choices, and the stamps of one run.
-WINDOW = (dt.date(2024, 1, 8), dt.date(2024, 1, 14))
-WANTED = ["m3", "m0", "m7"]
+WANTED_TEXT = '["m3", " m0", "m3", "", "m7"]'
+RUN_DAY = dt.date(2024, 2, 1)
 EXTRACTED_AT = dt.datetime(2024, 2, 1, 6, 30)
 CHOSEN_MEDIA = ["m0", "m1", "m2"]
 CHOSEN_CHANNELS = ["Youtube"]
@@ -177,15 +178,19 @@ def read_table_version(spark, sf_dir):
 
 @named("extract_window")
 def extracted_events(spark, sf_dir):
+    """Media and window come as text, as a run is given them."""
+    request = read_request(spark, WANTED_TEXT, RUN_DAY, "2024-01-08", "20240114")
     events = B.plain_events(spark, sf_dir)
-    chosen = extract_window(events, WANTED, *WINDOW)
+    chosen = extract_window(events, request.media_ids, request.first, request.last)
     return chosen.select("event_key", "media_id", "received_at", "visitor_key", "percent_viewed")
 
 
 @query
 def run_manifest(spark, sf_dir):
     layout = _layout(spark, "manifest")
-    manifest = runs.land(spark, layout, B.plain_events(spark, sf_dir), WANTED, _extraction(*WINDOW))
+    request = read_request(spark, WANTED_TEXT, RUN_DAY, "2024-01-08", "2024-W02-7")
+    period = _extraction(request.first, request.last)
+    manifest = runs.land(spark, layout, B.plain_events(spark, sf_dir), request.media_ids, period)
     doc = spark.read.schema(
         "run_id string, start_date string, end_date string, media_count bigint,"
         " total_event_count bigint, results array<struct<media_id string,"
@@ -381,7 +386,7 @@ def enrich_without_dims(spark, sf_dir):
 
 @query
 def engagement_bands(spark, sf_dir):
-    return serve.engagement_bands(B.model(spark, sf_dir).enriched())
+    return serve.engagement_bands(serve.normalized_engagement(B.model(spark, sf_dir).engagement))
 
 
 @query
@@ -626,7 +631,7 @@ def curated_engagement(spark, sf_dir):
 
 @query
 def kpis(spark, sf_dir):
-    return rounded(serve.kpis(B.model(spark, sf_dir).enriched()), "weighted_average")
+    return rounded(serve.kpis(serve.normalized_engagement(B.model(spark, sf_dir).engagement)), "weighted_average")
 
 
 @query
