@@ -357,6 +357,7 @@ def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             at = batch.schema.get_field_index("text")
             yield batch.filter(pa.array(~predict(shared.value, batch.column(at))["rejected"]))
+        words.give_back()
 
     return docs.mapInArrow(run, docs.schema)
 

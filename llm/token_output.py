@@ -31,7 +31,7 @@ END_ID = 2
 #: Ids after which a block is closed; a document is never cut.
 BLOCK = 1 << 18
 #: Bytes of pieces and their ids that a worker remembers.
-MEMORY = 40 << 20
+MEMORY = 24 << 20
 #: Bytes of input a shard of the files stands for.
 SHARD_BYTES = 64 << 20
 BLOCKS = "shard int, block int, before long, n_tokens long, doc_ids binary, no_ids binary, counts binary, bits binary, checkpoints binary"
@@ -161,6 +161,7 @@ def tokenized(docs: DataFrame, path: str, end: int = END_ID) -> DataFrame:
     def run(batches):
         names, kinds = ["doc_id", "ids", "counts"], (pa.int64(), pa.binary(), pa.binary())
         total = np.zeros(0, dtype=np.int64)
+        words.give_back()
         for batch in batches:
             for first, texts in _runs(batch["text"]):
                 counts, ids = _encoder(path).ids(texts, end)
@@ -170,6 +171,7 @@ def tokenized(docs: DataFrame, path: str, end: int = END_ID) -> DataFrame:
                 ends = np.cumsum(counts)
                 raw = pa.array([_packed(ids[b - n : b]) for b, n in zip(ends, counts, strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(first, len(texts)), raw, pa.nulls(len(texts), pa.binary())], names=names)
+        words.give_back()
         yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((None, None, total.astype("<i8").tobytes()), kinds, strict=True)], names=names)
 
     return written(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary, counts binary"), "ids")
