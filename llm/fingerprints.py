@@ -8,11 +8,12 @@ A fingerprint holds the four lowest bits of each bin; as those agree by chance o
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from llm.spark import WORD, input_bytes, sha256_hex, table
+from llm.spark import WORD, input_bytes, sha256_hex, table, with_row_key, written
 
 SHINGLE = 5
 #: Bins are named by the highest BIN_BITS bits of a hash; each gives NIBBLE bits.
@@ -101,48 +102,41 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) | (F.size(b) == 0), (F.size(a) == F.size(b)).cast("double")).otherwise(value)
 
 
-def _with_range(docs: DataFrame) -> tuple[DataFrame, int]:
-    """Adds `range`: ascending ranges of doc_id with about RANGE_BYTES of the input each; null ids are in the first."""
+def _with_range(docs: DataFrame) -> DataFrame:
+    """Adds `range`: ascending ranges of `row` with about RANGE_BYTES of the input each."""
     n = max(1, input_bytes(docs) // RANGE_BYTES)
     points = [k / n for k in range(1, n)]
-    bounds = sorted(set(docs.agg(F.percentile_approx("doc_id", points, 10 * n)).first()[0] or [])) if points else []
+    bounds = sorted(set(docs.agg(F.percentile_approx("row", points, 10 * n)).first()[0] or [])) if points else []
     if not bounds:
-        return docs.withColumn("range", F.lit(0)), 1
+        return docs.withColumn("range", F.lit(0))
     step = math.isqrt(len(bounds) - 1) + 1
     groups = [bounds[i : i + step] for i in range(0, len(bounds), step)]
-    below = lambda xs: F.size(F.filter(xs, lambda b: b <= F.col("doc_id")))
+    below = lambda xs: F.size(F.filter(xs, lambda b: b <= F.col("row")))
     group = below(F.lit([g[0] for g in groups])) - 1
     place = F.when(group < 0, 0).otherwise(group * step + below(F.get(F.lit(groups), group)))
-    return docs.withColumn("range", F.coalesce(place, F.lit(0)).cast("int")), len(bounds) + 1
+    return docs.withColumn("range", place.cast("int"))
 
 
-def with_next(docs: DataFrame, also: list[str]) -> DataFrame:
-    """Adds next_<column> for `text` and `also`: those of the next row by doc_id (then text); the first after the last.
+def with_next(docs: DataFrame, add: Callable[[DataFrame], DataFrame], added: list[str]) -> DataFrame:
+    """`add` applied to docs(row, text, ...), and next_<column> for `text` and `added`: of the next row, after the last of the first.
 
-    Null doc_ids come first. Rows are put in order range by range; the head of each range is looked up apart.
+    Rows are put in order range by range. The first row of each range is looked up apart, before `add`, so that what
+    `add` computes is computed once a row and once more for these.
     """
-    ranged, _ = _with_range(docs)
-    cols = ["text", *also]
-    order = Window.partitionBy("range").orderBy(F.asc_nulls_first("doc_id"), "text")
-    led = ranged.withColumn("_next", F.lead(F.struct(*cols)).over(order))
-    # one head for each range of ids
-    heads = ranged.select("doc_id", "range").groupBy("range").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("head"))
-    by = Window.orderBy("range")
-    first = heads.agg(F.min_by("head", "range").alias("first"))
-    heads = heads.select(F.col("range").alias("_r"), F.lead("head").over(by).alias("head"))
-    # the last range is followed by the first head; `first` is one row, joined on the absence of a later head
-    heads = heads.join(first, F.col("head").isNull() & F.col("first").isNotNull(), "left").select(
-        "_r", F.coalesce("head", "first")["doc_id"].alias("_id")
-    )
-    ids = heads.select("_id").distinct()
-    found = (
-        docs.join(F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-        .groupBy("doc_id").agg(F.min(F.struct(*cols)).alias("_row"))
-    )
-    heads = heads.join(found, F.col("_id").eqNullSafe(F.col("doc_id")), "left").select("_r", F.col("_row").alias("_head"))
-    out = led.join(F.broadcast(heads), F.col("range") == F.col("_r"), "left")
-    following = F.coalesce("_next", "_head")
-    return out.select(*docs.columns, *[following[c].alias(f"next_{c}") for c in cols])
+    cols = ["text", *added]
+    order = Window.partitionBy("range").orderBy("row")
+    ranged = _with_range(docs)
+    led = add(ranged).withColumn("_next", F.lead(F.struct(*cols)).over(order))
+    heads = ranged.groupBy("range").agg(F.min("row").alias("head"))
+    # where a range ends, the head of the next one follows, behind the last range the first of all
+    following = F.coalesce(F.lead("head").over(Window.orderBy("range")), F.first("head").over(Window.orderBy("range")))
+    heads = written(heads.select(F.col("range").alias("_r"), following.alias("_row")), "heads")  # a number for each RANGE_BYTES
+    found = add(docs.join(F.broadcast(heads.select(F.col("_row").alias("row")).distinct()), "row", "left_semi"))
+    texts = heads.join(found.select(F.col("row").alias("_row"), F.struct(*cols).alias("_head")), "_row").drop("_row")
+    # no hint: rows lie by range already, and the heads' texts have no bound
+    out = led.join(texts, F.col("range") == F.col("_r"), "left")
+    after = F.coalesce("_next", "_head")
+    return out.select(*docs.columns, *added, *[after[c].alias(f"next_{c}") for c in cols])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -158,11 +152,11 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
     """Every text with its second half replaced from the next document, both fingerprints, and likenesses.
 
     (doc_id, n_chars, edited, fingerprint, edited_fingerprint, near_edited, near_next) of every row of
-    docs(doc_id, text). Null texts are empty; rows of one doc_id follow each other by text; an empty table gives no
-    rows; other columns are left aside.
+    docs(doc_id, text). Null texts are empty; rows without a doc_id come first, and rows of one doc_id follow each
+    other in the order of a hash of their texts; an empty table gives no rows; other columns are left aside.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    both = with_next(with_codes(rows, "text", "codes"), ["codes"])
+    rows, _ = with_row_key(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "row")
+    both = with_next(rows, lambda df: with_codes(df, "text", "codes"), ["codes"])
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))

@@ -365,4 +365,6 @@ def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = identify(docs, train(docs))
-    return found.select("doc_id", _held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "entropy", "rejected")
+    # a null doc_id is in no fold, and its row is not learned from either
+    held_out = F.coalesce(_held_out(F.col("doc_id")), F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "entropy", "rejected")

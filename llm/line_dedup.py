@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.spark import WORD, sha256_hex, table, written
+from llm.spark import WORD, sha256_hex, table, with_row_key, written
 
 #: Lines match if their word sets have at least this Jaccard similarity, in percent.
 PERCENT = 80
@@ -19,7 +19,6 @@ PERCENT = 80
 #: goes to every task to one byte a counter. Tokens that share a counter only make the order less sharp: any order that
 #: is the same for all lines gives the same matches.
 COUNTERS = 17
-NULL_ID = -(2**63)
 
 
 def _words(line: Column) -> Column:
@@ -104,15 +103,16 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     Lines end at line feeds; a line's set holds its distinct words, runs of anything but ASCII white space. A line goes if
     an earlier one (smaller doc_id, or before in the document), removed or not, has a set of at least `percent` Jaccard
     similarity. Lines without words stay. `kept` is what stays, joined by line feeds. A null text has no lines, a null
-    doc_id comes before all others. Rows of one doc_id count as one document: a line number that stays in one stays in
-    all. Other columns are left aside; an empty table gives no rows.
+    doc_id comes before all others. Each row is a document of its own: rows of one doc_id, or without one, follow each
+    other in the order of a hash of their texts. Other columns are left aside; an empty table gives no rows.
     """
-    keyed = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "text")
+    rows, _ = with_row_key(docs.select("doc_id", "text"), "row")
+    keyed = rows.select(F.col("row").alias("doc_id"), "text")
     # read twice, with and without prefixes: written once, as the words of all texts went into it
     classes = written(_classes(keyed, _counters(keyed), percent), "lines")
     gone = _verified(keyed, _candidates(classes, percent), percent)
     stays = classes.select("doc_id", "line").join(gone, ["doc_id", "line"], "left_anti").groupBy("doc_id").agg(F.collect_list("line").alias("stays"))
-    lines = keyed.join(stays, "doc_id", "left").select(
+    lines = rows.join(stays.withColumnRenamed("doc_id", "row"), "row", "left").select(
         "doc_id", F.coalesce(_lines(F.col("text")), F.array().cast("array<string>")).alias("lines"), F.coalesce("stays", F.array().cast("array<int>")).alias("stays")
     )
     at = F.when(F.size("lines") > 0, F.sequence(F.lit(0), F.size("lines") - 1)).otherwise(F.array().cast("array<int>"))
@@ -120,7 +120,7 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     kept = F.sort_array(F.array_intersect(at, F.concat(blank, "stays")))
     out = lines.select("doc_id", "lines", kept.alias("at"))
     return out.select(
-        F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")).alias("doc_id"), F.size("lines").cast("long").alias("n_lines"),
+        "doc_id", F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size("at")).cast("long").alias("n_removed"),
         F.array_join(F.transform("at", lambda i: F.get("lines", i)), "\n").alias("kept"),
     )

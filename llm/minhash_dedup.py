@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm import words
-from llm.spark import buckets, components, table, written
+from llm.spark import buckets, components, row_key, table, with_row_key, written
 
 SHINGLE = 5
 #: Linked are sets with 100 * intersection >= PERCENT * union.
@@ -29,7 +29,6 @@ BANDS, ROWS = 32, 4
 MISS, BATCHES = 1e-6, (16, 32, 64, 96, 128)
 #: Classes that a unit compares at most; larger candidate groups are cut into bands, and bands into pairs of chunks.
 UNIT = 512
-NULL_ID = -(2**63)
 _RNG = np.random.default_rng(51)
 _A = (_RNG.integers(0, 2**31, BANDS * ROWS, dtype=np.int64) * 2 + 1).astype(np.uint32)
 _B = _RNG.integers(0, 2**32, BANDS * ROWS, dtype=np.int64).astype(np.uint32)
@@ -59,7 +58,8 @@ def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def signatures(sizes: np.ndarray, values: np.ndarray) -> np.ndarray:
     """MinHash values of each set that is not empty, in rows."""
-    starts = np.concatenate(([0], np.cumsum(sizes[sizes > 0])[:-1])).astype(np.int64)
+    full = sizes[sizes > 0]
+    starts = (np.cumsum(full) - full).astype(np.int64)
     low = (values >> np.uint64(32)).astype(np.uint32)
     out = np.empty((len(starts), len(_A)), dtype=np.uint32)
     for j in range(len(_A) if len(starts) else 0):
@@ -190,10 +190,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Words are runs of anything but ASCII white space, A-Z lower-cased; a text's set holds its distinct runs of SHINGLE
     words, or the whole sequence if it has fewer. Links are confirmed on full sets. component_id is the smallest doc_id
     that links reach; kept says that it is the row's own. Texts without words are linked with nothing. A null doc_id
-    is smaller than all others. Rows of one doc_id are judged by their own texts but are one document in a chain of
-    links; equal rows give equal rows. Other columns are left aside; an empty table gives no rows.
+    is smaller than all others. Each row is a document of its own, also among rows of one doc_id or without one: of a
+    component whose smallest doc_id several rows have, one is kept, chosen by a hash of its text. Other columns are
+    left aside; an empty table gives no rows.
     """
-    keyed = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "text")
+    rows, by_id = with_row_key(docs.select("doc_id", "text"), "row")
+    found = _components_of_rows(rows.select(F.col("row").alias("doc_id"), "text"))
+    if by_id:
+        return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"), (F.col("doc_id") == F.col("component")).alias("kept"))
+    ids = rows.select(F.col("row").alias("component"), F.col("doc_id").alias("component_id"))
+    named = found.withColumnRenamed("doc_id", "row").join(rows.select("row", "doc_id"), "row").join(ids, "component")
+    return named.select("doc_id", "n_shingles", "component_id", (F.col("row") == F.col("component")).alias("kept"))
+
+
+def _components_of_rows(keyed: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component) of rows with a key each as doc_id."""
     described = written(
         keyed.mapInArrow(_described, "doc_id long, n_shingles long, key1 long, key2 long, bands array<long>"), "signatures"
     )
@@ -204,22 +215,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     units = written(_units(classes), "units")
     of_units = units.select("rep").distinct()
     sets = keyed.join(of_units.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi").mapInArrow(_sets, "rep long, shingles binary")
-    n = buckets(docs)
+    n = buckets(keyed)
     met = units.join(sets, "rep").withColumn("group", F.pmod(F.xxhash64("kind", "unit", "low", "high"), F.lit(n)))
     links = written(met.groupBy("group").applyInArrow(_links, "a long, b long"), "links")
     reached = components(links).withColumnRenamed("id", "rep")
     known = reps.join(reached, "rep", "left").select(*same, F.coalesce("component", "rep").alias("component"))
-    out = slim.join(known, same, "left").withColumn("component", F.coalesce("component", "doc_id"))
-    back = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
-    return out.select(
-        back("doc_id").alias("doc_id"), "n_shingles", back("component").alias("component_id"), (F.col("doc_id") == F.col("component")).alias("kept")
-    )
+    return slim.join(known, same, "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component"))
 
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of docs(doc_id, text, ...) that stay, one document of each component, with all their columns."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    key = row_key(docs)
+    rows, _ = with_row_key(docs, key)
+    found = _components_of_rows(rows.select(F.col(key).alias("doc_id"), "text"))
+    kept = found.where("doc_id = component").select(F.col("doc_id").alias(key))
+    return rows.join(kept, key, "left_semi").select(*docs.columns)
 
 
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,6 +62,30 @@ def buckets(df: DataFrame) -> int:
     return min(1 << 20, max(partitions(df.sparkSession), input_bytes(df) // BUCKET_BYTES))
 
 
+def row_key(docs: DataFrame) -> str:
+    """A name for a row key that no column of docs has."""
+    name = "row"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
+
+
+def with_row_key(docs: DataFrame, name: str) -> tuple[DataFrame, bool]:
+    """docs(doc_id, text, ...) with a long `name` that no two rows share, in the order of doc_id, nulls first; is it the doc_id?
+
+    Where doc_ids are known and differ, the key is the doc_id itself. Else rows of one doc_id are in the order of a hash
+    of their texts, and rows that are equal get a key each; the rows are written once, so that a key stays with its row.
+    """
+    ids = docs.agg(F.count("*").alias("n"), F.count("doc_id").alias("known"), F.count_distinct("doc_id").alias("d")).first()
+    if ids["n"] == ids["known"] == ids["d"]:
+        return docs.withColumn(name, F.col("doc_id").cast("long")), True
+    order = [F.col("doc_id"), F.xxhash64("text"), F.monotonically_increasing_id()]
+    names = [f"{name}_{k}" for k in range(3)]
+    ordered = docs.select("*", *[c.alias(k) for c, k in zip(order, names, strict=True)])
+    ordered = ordered.repartitionByRange(buckets(docs), *names).sortWithinPartitions(*names)
+    return written(ordered.select(*docs.columns, F.monotonically_increasing_id().alias(name)), "rows"), False
+
+
 def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
     """(id, component) for every end of an edge; the component is the smallest id reachable.
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm import packed, words
-from llm.spark import buckets, table
+from llm.spark import buckets, table, with_row_key
 
 #: Perfect difference sets, by period. Fixed values.
 COVERS = {
@@ -29,8 +29,6 @@ COVERS = {
     21: (0, 1, 4, 14, 16),
     31: (0, 1, 3, 8, 12, 18),
 }
-#: A doc_id that is null is this one in an exchange: it comes before all others.
-NULL_ID = -(2**63)
 _SEEDS = (11, 12)
 
 
@@ -110,10 +108,9 @@ def _kept(batches: Iterator[pa.RecordBatch], window: int, digest: bool) -> Itera
         )
 
 
-def earlier_windows(docs: DataFrame, window: int = 20) -> DataFrame:
-    """(doc_id, places): the windows of `window` words that also start earlier, as word places."""
-    n = buckets(docs)
-    keyed = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "text")
+def earlier_windows(keyed: DataFrame, window: int = 20) -> DataFrame:
+    """(doc_id, places): windows of `window` words that also start earlier, as word places, of rows with a key each as doc_id."""
+    n = buckets(keyed)
 
     def exchange(rows: DataFrame, key_words: int, earliest: bool) -> DataFrame:
         found = rows.groupBy("bucket").applyInArrow(
@@ -132,13 +129,14 @@ def dedup(docs: DataFrame, window: int = 20, digest: bool = False) -> DataFrame:
     Words are runs of anything but ASCII white space. A word goes if a window of `window` words over it also starts
     earlier: at a smaller doc_id, or before in the same document. `kept` is the text left, words joined by one space, or
     with `digest` its SHA-256. Null texts have no words, a null doc_id comes before all others, and texts shorter than
-    a window are kept. Rows with one doc_id count as one document: none of them is earlier than the others, and a
-    window that goes in one goes in all. Other columns are left aside; an empty table gives no rows.
+    a window are kept. Each row is a document of its own: rows of one doc_id, or without one, follow each other in the
+    order of a hash of their texts, and of equal rows one is the first. Other columns are left aside; an empty table
+    gives no rows.
     """
-    keyed = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "text")
-    marked = keyed.join(earlier_windows(docs, window), "doc_id", "left")
-    out = marked.mapInArrow(lambda b: _kept(b, window, digest), "doc_id long, n_words long, n_removed long, kept string")
-    return out.withColumn("doc_id", F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")))
+    rows, _ = with_row_key(docs.select("doc_id", "text"), "row")
+    places = earlier_windows(rows.select(F.col("row").alias("doc_id"), "text"), window).withColumnRenamed("doc_id", "row")
+    marked = rows.join(places, "row", "left")
+    return marked.mapInArrow(lambda b: _kept(b, window, digest), "doc_id long, n_words long, n_removed long, kept string")
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

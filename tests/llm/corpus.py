@@ -57,6 +57,24 @@ def plain_window_dedup(docs: list[tuple], window: int = 20) -> dict:
     return out
 
 
+def odd_ids(spark):
+    """Rows that share an id or have none, also the smallest id there is, and repeat each other's texts."""
+    passage, other = " ".join(f"r{i}" for i in range(30)), " ".join(f"s{i}" for i in range(40))
+    rows = [
+        (1, f"{passage} first"), (2, f"{passage} second"), (2, other), (3, "v " * 25), (3, "v " * 25), (4, "x y z\np q"), (5, "p q r\nx y z"),
+        (5, "x y z\nx y z w v"), (None, other), (None, other), (None, f"{other} and on"), (None, passage), (None, None), (None, ""),
+        (-(2**63), other), (-(2**63), "x y z"), (2**63 - 1, f"{passage} first"), (6, "a b c d e f"), (6, "a b c d e f"), (6, "nothing alike at all here"),
+    ]
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+
+
+def ranked(docs) -> list[tuple]:
+    """(key, doc_id, text) of every row, keys in the order of doc_id, nulls first, and of a hash of the text."""
+    rows = docs.selectExpr("doc_id", "text", "xxhash64(text) as h").collect()
+    rows = sorted(rows, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.h))
+    return [(k, r.doc_id, r.text) for k, r in enumerate(rows)]
+
+
 def shingles(text: str | None) -> set:
     low = (text or "").translate({c: c + 32 for c in range(65, 91)})
     own = words(low)

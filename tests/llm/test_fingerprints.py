@@ -31,6 +31,15 @@ def test_query_equals_brute_force(spark, monkeypatch, size):
     assert max(map(abs, wrong)) < 0.2 and abs(sum(wrong) / len(wrong)) < 0.02
 
 
+@pytest.mark.parametrize("size", [1 << 24, 200])
+def test_next_of_rows_that_share_ids_or_have_none(spark, monkeypatch, size):
+    monkeypatch.setattr(fingerprints, "RANGE_BYTES", size)
+    docs = corpus.odd_ids(spark)
+    rows = [(i, t or "") for _, i, t in corpus.ranked(docs.na.fill(""))]
+    expected = [(i, t[: len(t) - len(t) // 2] + n[: len(t) // 2]) for (i, t), (_, n) in zip(rows, rows[1:] + rows[:1], strict=True)]
+    assert sorted(((r.doc_id, r.edited) for r in edited_pairs(docs).collect()), key=str) == sorted(expected, key=str)
+
+
 def test_edges(spark):
     rows = edited_pairs(corpus.edge_docs(spark)).collect()
     assert len(rows) == len(corpus.edge_rows())

@@ -36,13 +36,14 @@ def test_near_copies_equal_brute_force(spark, monkeypatch, unit):
 
 
 def test_edges(spark):
-    docs = corpus.edge_docs(spark)
-    rows = near_duplicates(docs).collect()
-    assert len(rows) == len(corpus.edge_rows())
-    expected = corpus.plain_components([(i, t) for i, t in {(r[0], r[1]) for r in corpus.edge_rows()} if i is not None])
-    for r in rows:
-        if r.doc_id is not None:
-            assert (r.n_shingles, r.component_id) == expected[r.doc_id]
+    for docs in (corpus.odd_ids(spark), corpus.edge_docs(spark)):
+        rows = corpus.ranked(docs)
+        plain = corpus.plain_components([(k, t) for k, _, t in rows])
+        of_key = {k: i for k, i, _ in rows}
+        expected = sorted(((i, plain[k][0], of_key[plain[k][1]], k == plain[k][1]) for k, i, _ in rows), key=str)
+        assert sorted(map(tuple, near_duplicates(docs).collect()), key=str) == expected
+        kept = sorted(((i, t) for k, i, t in rows if plain[k][1] == k), key=str)
+        assert sorted(((r.doc_id, r.text) for r in without_near_duplicates(docs).collect()), key=str) == kept
     kept = without_near_duplicates(docs)
     assert kept.columns == docs.columns
     ids = [r.doc_id for r in kept.collect()]
@@ -51,6 +52,11 @@ def test_edges(spark):
     assert without_near_duplicates(corpus.no_docs(spark)).collect() == []
 
 
+def test_texts_without_words_alone(spark):
+    docs = spark.createDataFrame([(k, None if k % 2 else " \n") for k in range(4)], "doc_id long, text string").coalesce(1)
+    assert sorted(map(tuple, near_duplicates(docs).collect())) == [(k, 0, k, True) for k in range(4)]
+
+
 def test_chosen_probabilities():
     assert (1 - 0.75**ROWS) ** BANDS < 1e-5
     for n in BATCHES:
