@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from llm.spark import WORD, checkpointed, table
+from llm.spark import WORD, checkpointed, row_key, table, with_row_key
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_PASSES = 3
@@ -38,8 +38,8 @@ class Plan:
     cut: float  # last virtual finish time that the mix takes
 
 
-def _draw(seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), F.col("doc_id"))
+def _draw(seed: int, key: str) -> Column:
+    return F.xxhash64(F.lit(seed), F.col(key))
 
 
 def _range(bits: int) -> Column:
@@ -47,12 +47,12 @@ def _range(bits: int) -> Column:
 
 
 def _queued(rows: DataFrame, plan: Plan) -> DataFrame:
-    """rows(doc_id, source, size, draw) with source_size, weight, target and `upto`, the source's words up to here."""
+    """rows(source, size, draw, ...) with source_size, weight, target and `upto`, the source's words up to here."""
     keyed = rows.withColumn("range", _range(plan.bits))
     # one join by source and range, so that a large source is dealt out by range
     about = plan.offsets.select(F.col("source").alias("_s"), F.col("range").alias("_r"), "before", "source_size", "weight", "target")
     keyed = keyed.join(about, F.col("source").eqNullSafe(F.col("_s")) & (F.col("range") == F.col("_r")))
-    order = Window.partitionBy("source", "range").orderBy("draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy("source", "range").orderBy("draw", "size").rowsBetween(Window.unboundedPreceding, 0)
     return keyed.withColumn("upto", F.col("before") + F.sum("size").over(order)).drop("range", "before", "_s", "_r")
 
 
@@ -97,7 +97,7 @@ def _level(sources: DataFrame, budget: float, passes: int) -> float:
 def plan_mix(
     sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, passes: int = MAX_PASSES, share: float = 1.0
 ) -> Plan:
-    """Targets and cut for sized(doc_id, source, size, draw), which is read several times."""
+    """Targets and cut for sized(source, size, draw, ...), which is read several times."""
     sources = _sources(sized, weights, passes)
     row = sources.agg(F.sum("source_size").alias("size"), F.sum("rows").alias("rows")).first()
     budget = share * float(row["size"] or 0)
@@ -135,8 +135,9 @@ def plan_mix(
     return Plan(sources, bits, offsets, float(cut))
 
 
-def sizes(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    return docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), _draw(seed).alias("draw"))
+def sizes(rows: DataFrame, key: str, seed: int = SEED) -> DataFrame:
+    """(doc_id, source, size, draw) of rows with a key each; equal ids draw on their own, so none share a range."""
+    return rows.select("doc_id", "source", n_words(F.col("text")).alias("size"), _draw(seed, key).alias("draw"))
 
 
 def _passes(plan: Plan, passes: int) -> Column:
@@ -153,7 +154,8 @@ def shares(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, passes: int =
     taken whole, so a source stays within a document of its target. Null and empty texts have size 0 and are kept once.
     Rows of one doc_id are rows of their own. An empty table gives no rows.
     """
-    sized = checkpointed(sizes(docs, seed))
+    rows, _ = with_row_key(docs.select("doc_id", "text", "source"), "row")
+    sized = checkpointed(sizes(rows, "row", seed))
     plan = plan_mix(sized, weights, passes)
     out = _queued(sized, plan).withColumn("passes", _passes(plan, passes))
     return out.select("doc_id", "source", "size", "source_size", "target", "passes", (F.col("size") * F.col("passes")).alias("taken"))
@@ -161,8 +163,10 @@ def shares(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, passes: int =
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, passes: int = MAX_PASSES, seed: int = SEED) -> DataFrame:
     """The rows that the mix takes, repeated as it repeats them, with the columns of docs(doc_id, text, source, ...)."""
-    plan = plan_mix(checkpointed(sizes(docs, seed)), weights, passes)
-    row = docs.select(F.struct("*").alias("row"), "doc_id", "source", n_words(F.col("text")).alias("size"), _draw(seed).alias("draw"))
+    key = row_key(docs)
+    rows, _ = with_row_key(docs, key)
+    plan = plan_mix(checkpointed(sizes(rows, key, seed)), weights, passes)
+    row = rows.select(F.struct(*docs.columns).alias("row"), "source", n_words(F.col("text")).alias("size"), _draw(seed, key).alias("draw"))
     taken = _queued(row, plan).withColumn("passes", _passes(plan, passes)).where("passes > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("passes")))).select("row.*")
 
