@@ -314,8 +314,11 @@ def _calibrate(model: Model, rows: list) -> None:
     h, n = np.array([r["h"] for r in rows]), np.array([r["n"] for r in rows])
     label = np.array([model.langs.index(r["lang"]) for r in rows])
     own = h[np.arange(len(h)), label] - LEEWAY / np.sqrt(n)
+    right = h.argmin(axis=1) == label  # rows that read as another language say nothing of their label's
     for j in range(len(model.langs)):
-        mine = own[label == j] if (label == j).sum() >= 20 else own  # too few rows: those of all languages
+        mine = own[right & (label == j)]
+        if len(mine) < 20:  # too few rows: those of all languages
+            mine = own[right] if right.any() else own
         high, middle = np.quantile(mine, 1 - FALSE_REJECT), np.median(mine)
         # never below halfway from the median to an even draw of symbols
         model.limits[j] = max(2 * high - middle, (middle + np.log(model.alphabet + 1)) / 2)

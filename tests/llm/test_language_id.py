@@ -1,8 +1,12 @@
+import math
+import re
 import zlib
+from collections import Counter
 
 import corpus
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from llm.language_id import UNKNOWN, build, entropies, identify, keep_identified, op10_language_id, predict, train
 
@@ -25,6 +29,74 @@ def grams(texts_by_lang, order):
     return table.group_by(["lang", "n", "gram"]).aggregate([("history", "min"), ("suffix", "min"), ("initial", "min"), ("c", "sum")]).rename_columns(["lang", "n", "gram", "history", "suffix", "initial", "c"])
 
 
+class PlainKneserNey:
+    """Interpolated Kneser-Ney over letters inside words, with dictionaries; `_` is a word's end."""
+
+    def __init__(self, texts, order, alphabet):
+        self.order, self.floor = order, 1 / (alphabet + 1)
+        counts = [Counter() for _ in range(order + 1)]
+        for text in texts:
+            for run in self.runs(text):
+                for i in range(1, len(run)):
+                    for n in range(1, min(order, i + 1) + 1):
+                        counts[n][run[i + 1 - n : i + 1]] += 1
+        self.counts = []
+        for n in range(1, order + 1):
+            own = dict(counts[n])
+            if n < order:
+                before = Counter(gram[1:] for gram in counts[n + 1])
+                for gram in own:
+                    if not gram.startswith("_") or gram == "_":  # a longer history may precede it
+                        own[gram] = before.get(gram, own[gram])
+            self.counts.append(own)
+        self.discounts, self.totals, self.kinds = [], [], []
+        for own in self.counts:
+            n1, n2 = (sum(c == k for c in own.values()) for k in (1, 2))
+            self.discounts.append(n1 / (n1 + 2 * n2) if n1 and n2 else 0.5)
+            total, kinds = Counter(), Counter()
+            for gram, c in own.items():
+                total[gram[:-1]] += c
+                kinds[gram[:-1]] += 1
+            self.totals.append(total)
+            self.kinds.append(kinds)
+
+    @staticmethod
+    def runs(text):
+        for word in corpus.words(text):
+            for run in re.findall(r"[^\W\d_]+", word.lower()):
+                yield f"_{run}_"
+
+    def probability(self, history, symbol):
+        p = self.floor
+        for n in range(1, min(self.order, len(history) + 1) + 1):
+            own = history[len(history) + 1 - n :]
+            total = self.totals[n - 1][own]
+            if total:
+                c = self.counts[n - 1].get(own + symbol, 0)
+                d = self.discounts[n - 1]
+                p = (max(c - d, 0) + d * self.kinds[n - 1][own] * p) / total
+        return p
+
+    def entropy(self, text):
+        logs = [-math.log(self.probability(run[:i], run[i])) for run in self.runs(text) for i in range(1, len(run))]
+        return sum(logs) / len(logs) if logs else 0.0
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 5])
+def test_entropies_are_those_of_a_plain_model(spark, order):
+    docs = [r for r in spark.read.parquet(f"{corpus.SF}/documents.parquet").collect() if len(r.text) < 6000]
+    langs = sorted({r.lang for r in docs})
+    fitted = {k: [r.text for r in docs if r.lang == k][:12] for k in langs}
+    model = build(grams(fitted, order), langs, order)
+    alphabet = {c for k in langs for t in fitted[k] for run in PlainKneserNey.runs(t) for c in run}
+    assert model.alphabet == len(alphabet)
+    texts = [r.text for r in docs[-25:]] + ["Zebra zzyzx", "a", "über naïve", "12 !", "x-y z1a"]
+    found, _ = entropies(model, pa.array(texts))
+    for j, k in enumerate(langs):
+        plain = PlainKneserNey(fitted[k], order, len(alphabet))
+        assert found[:, j] == pytest.approx([plain.entropy(t) for t in texts], rel=1e-4, abs=1e-6)
+
+
 def test_probabilities_of_a_history_sum_to_one():
     """Over every symbol of both languages, for histories seen and unseen."""
     texts = {"x": ["abc abd abe bab cab", "abba"], "y": ["bcd ddd dcb"]}
@@ -62,6 +134,30 @@ def test_rejects_what_is_unlike_all_languages(spark):
     assert (h[0] == h[1]).all() and n.tolist() == [7, 7]
 
 
+def test_mislabelled_rows_do_not_open_the_limits(spark):
+    """One row in fifty has another language's label; a language in learned letters that was not learned is still let go."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").selectExpr("doc_id", "text", "lang", "source", "n_chars")
+    known = docs.where("lang <> 'es'")
+    wrong = known.selectExpr("doc_id", "text", "if(pmod(hash(doc_id), 50) = 0, if(lang = 'en', 'fr', 'en'), lang) as lang")
+    clean, noisy = train(known), train(wrong)
+    assert noisy.limits == pytest.approx(clean.limits, rel=0.25)
+    for model in (clean, noisy):
+        rows = {r.doc_id: r.rejected for r in identify(docs, model).collect()}
+        lang = {r.doc_id: r.lang for r in docs.collect()}
+        unlearned = [rejected for i, rejected in rows.items() if lang[i] == "es"]
+        learned = [rejected for i, rejected in rows.items() if lang[i] != "es"]
+        assert sum(unlearned) > 0.9 * len(unlearned) and sum(learned) < 0.01 * len(learned)
+
+
+def test_rows_without_an_id_are_not_held_out(spark, monkeypatch):
+    from llm import language_id
+
+    docs = spark.createDataFrame([(None, "the cat", "en"), (1, "the dog", "en")], "doc_id long, text string, lang string")
+    monkeypatch.setattr(language_id, "table", lambda *_: docs)
+    rows = op10_language_id(spark, "").collect()
+    assert {r.doc_id: r.held_out for r in rows} == {None: False, 1: zlib.crc32(b"1") % 3 == 1}
+
+
 def test_edges(spark):
     docs = corpus.edge_docs(spark)
     for model in (train(docs), train(corpus.no_docs(spark)), train(docs.where("false"))):
