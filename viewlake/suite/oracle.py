@@ -246,6 +246,12 @@ def oracle_sql() -> dict[str, str]:
             case event_type when 'purchase' then 'YouTube and facebook'
               when 'signup' then 'Spring cut' end title, count(*) row_count
             from events where event_type not in ('view', 'click') group by 1, 2""",
+        "channel_examples": """select * from (select
+            concat('m', cast(cast(json_extract_string(props, '$.k') as int) % 5 as varchar)) media_id,
+            case event_type when 'purchase' then 'YouTube and facebook'
+              when 'signup' then 'Spring cut' end title
+            from events where event_type not in ('view', 'click'))
+            order by media_id nulls last, title nulls last limit 10""",
         "curated_audit": _model(f"""{_VE_ROUNDED}, date '2024-01-31' data_through_date,
             '2024-02-01 06:30:00' pipeline_refreshed_at, 'run-0001' ingestion_run_id from ve"""),
         "enrich_dashboard": _model(_DETAIL.replace("from enriched", ", url from enriched")),

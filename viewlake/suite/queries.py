@@ -365,6 +365,13 @@ def channel_violations(spark, sf_dir):
     return found.groupBy("media_id", "title").agg(F.count("*").alias("row_count"))
 
 
+@query
+def channel_examples(spark, sf_dir):
+    """What the message of the channel gate shows."""
+    titled = _titled_events(spark, sf_dir)
+    return gates.channel_examples(titled.withColumn("channel", channel_from_title(F.col("title"))))
+
+
 @query
 def curated_audit(spark, sf_dir):
     audited = with_audit(
