@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.spark import WORD, sha256_hex, table, with_row_key, written
+from llm.spark import WORD, sha256_hex, table, with_doc_id, with_row_key, written
 
 #: Lines match if their word sets have at least this Jaccard similarity, in percent.
 PERCENT = 80
@@ -106,24 +106,25 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     doc_id comes before all others. Each row is a document of its own: rows of one doc_id, or without one, follow each
     other in the order of a hash of their texts. Other columns are left aside; an empty table gives no rows.
     """
-    rows, _ = with_row_key(docs.select("doc_id", "text"), "row")
+    rows, by_id = with_row_key(docs.select("doc_id", "text"), "row")
     keyed = rows.select(F.col("row").alias("doc_id"), "text")
     # read twice, with and without prefixes: written once, as the words of all texts went into it
     classes = written(_classes(keyed, _counters(keyed), percent), "lines")
     gone = _verified(keyed, _candidates(classes, percent), percent)
     stays = classes.select("doc_id", "line").join(gone, ["doc_id", "line"], "left_anti").groupBy("doc_id").agg(F.collect_list("line").alias("stays"))
-    lines = rows.join(stays.withColumnRenamed("doc_id", "row"), "row", "left").select(
+    lines = keyed.join(stays, "doc_id", "left").select(
         "doc_id", F.coalesce(_lines(F.col("text")), F.array().cast("array<string>")).alias("lines"), F.coalesce("stays", F.array().cast("array<int>")).alias("stays")
     )
     at = F.when(F.size("lines") > 0, F.sequence(F.lit(0), F.size("lines") - 1)).otherwise(F.array().cast("array<int>"))
     blank = F.filter(at, lambda i: ~F.get("lines", i).rlike(WORD))
     kept = F.sort_array(F.array_intersect(at, F.concat(blank, "stays")))
     out = lines.select("doc_id", "lines", kept.alias("at"))
-    return out.select(
+    found = out.select(
         "doc_id", F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size("at")).cast("long").alias("n_removed"),
         F.array_join(F.transform("at", lambda i: F.get("lines", i)), "\n").alias("kept"),
     )
+    return found if by_id else with_doc_id(found, rows)
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

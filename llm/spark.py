@@ -78,7 +78,9 @@ def with_row_key(docs: DataFrame, name: str) -> tuple[DataFrame, bool]:
     """
     ids = docs.agg(F.count("*").alias("n"), F.count("doc_id").alias("known"), F.count_distinct("doc_id").alias("d")).first()
     if ids["n"] == ids["known"] == ids["d"]:
-        return docs.withColumn(name, F.col("doc_id").cast("long")), True
+        # no id is null here; saying so keeps joins from filtering one use of the rows and not another, so that they
+        # share an exchange
+        return docs.withColumn(name, F.coalesce(F.col("doc_id").cast("long"), F.lit(0))), True
     order = [F.col("doc_id"), F.xxhash64("text"), F.monotonically_increasing_id()]
     names = [f"{name}_{k}" for k in range(3)]
     ordered = docs.select("*", *[c.alias(k) for c, k in zip(order, names, strict=True)])
@@ -86,6 +88,13 @@ def with_row_key(docs: DataFrame, name: str) -> tuple[DataFrame, bool]:
     return written(ordered.select(*docs.columns, F.monotonically_increasing_id().alias(name)), "rows"), False
 
 
+def with_doc_id(found: DataFrame, rows: DataFrame) -> DataFrame:
+    """found(doc_id, ...), whose doc_id is a row key, with the doc_id of rows(row, doc_id) in its place."""
+    ids = rows.select("row", F.col("doc_id").alias("own_id"))
+    named = found.join(ids, found["doc_id"] == ids["row"])
+    return named.select(F.col("own_id").alias("doc_id"), *[c for c in found.columns if c != "doc_id"])
+
+
 def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
     """(id, component) for every end of an edge; the component is the smallest id reachable.
 

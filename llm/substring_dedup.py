@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm import packed, words
-from llm.spark import buckets, table, with_row_key
+from llm.spark import buckets, table, with_doc_id, with_row_key
 
 #: Perfect difference sets, by period. Fixed values.
 COVERS = {
@@ -133,10 +133,12 @@ def dedup(docs: DataFrame, window: int = 20, digest: bool = False) -> DataFrame:
     order of a hash of their texts, and of equal rows one is the first. Other columns are left aside; an empty table
     gives no rows.
     """
-    rows, _ = with_row_key(docs.select("doc_id", "text"), "row")
-    places = earlier_windows(rows.select(F.col("row").alias("doc_id"), "text"), window).withColumnRenamed("doc_id", "row")
-    marked = rows.join(places, "row", "left")
-    return marked.mapInArrow(lambda b: _kept(b, window, digest), "doc_id long, n_words long, n_removed long, kept string")
+    rows, by_id = with_row_key(docs.select("doc_id", "text"), "row")
+    keyed = rows.select(F.col("row").alias("doc_id"), "text")
+    # both joins take the texts in the same form, so that they are dealt out once
+    marked = keyed.join(earlier_windows(keyed, window), "doc_id", "left")
+    out = marked.mapInArrow(lambda b: _kept(b, window, digest), "doc_id long, n_words long, n_removed long, kept string")
+    return out if by_id else with_doc_id(out, rows)
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
