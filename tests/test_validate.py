@@ -5,6 +5,8 @@ import pytest
 from samples import line
 
 from viewlake.errors import GateError, InputError
+from viewlake.functions import contract as C
+from viewlake.functions import rules
 from viewlake.operators.lines import require_a_task_a_block
 from viewlake.plans.refine import fact_media_engagement, staged_events
 from viewlake.plans.runs import Layout, validate
@@ -86,6 +88,25 @@ def test_the_raw_layer_needs_no_exchange_and_numbers_are_true(spark, folder, set
     assert not storage.exists(spark, report["raw_s3_uri"].replace("layer=raw", "layer=held"))
 
 
+def test_lines_of_one_compressed_file_are_checked_in_many_tasks(spark, folder, settings):
+    """The file is read by one task, as it cannot be split; the lines are dealt out and keep their numbers."""
+    settings("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    landed = [line(event_key=f"k{i}") if i % 5 else f"broken {i}" for i in range(4000)]
+    report = run(spark, folder, landed)
+    assert len(storage.matching(spark, f"{report['raw_s3_uri']}/part-*")) > 1
+    assert sorted(texts(spark, report["raw_s3_uri"])) == sorted(t for t in landed if t.startswith("{"))
+    held = [json.loads(t) for t in texts(spark, report["quarantine_s3_uri"])]
+    assert len(held) == 800 and all(landed[r["source_line_number"] - 1] == r["original_line"] for r in held)
+    assert len({r["source_s3_uri"] for r in held}) == 1
+
+
+def test_a_record_without_an_integer_field_is_not_searched_for_it(spark):
+    (width,) = [f for f in C.FIELDS if f.path == "thumbnail.width"]
+    tag = rules._type_tag(width, "cast(raise_error('searched') as string)")
+    rows = spark.range(1).selectExpr("if(id < 0, named_struct('width', parse_json('1')), null) as in_thumbnail")
+    assert rows.selectExpr(tag).first()[0] is None
+
+
 def test_several_blocks_a_task_are_not_numbered(spark):
     rows = spark.createDataFrame([("f", 0, 0), ("f", 9, 0)], "source_uri string, block_start int, task int")
     with pytest.raises(InputError, match="several blocks"):

@@ -17,6 +17,8 @@ ADDRESS = ("source_uri", "block_start", "block_row")
 _ROW_BITS = (1 << 33) - 1
 _LARGEST, _OPEN_COST, _MOST = (f"spark.sql.files.{k}" for k in ("maxPartitionBytes", "openCostInBytes", "maxPartitionNum"))
 
+_SHARE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
 
 def cut_by_block(spark: SparkSession) -> None:
     """The setting of ``a_task_a_block`` for all of a session."""
@@ -39,6 +41,26 @@ def a_task_a_block(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+#: Bytes of compressed lines that a task checks: seconds of work, while a file that cannot be split may hold minutes of it.
+SHARE_BYTES = 2 << 20
+
+
+@contextmanager
+def small_shares(spark: SparkSession) -> Iterator[None]:
+    """Rebalanced rows (see ``dealt_out``) that are written inside come in shares of ``SHARE_BYTES``."""
+    before = spark.conf.get(_SHARE, None)
+    spark.conf.set(_SHARE, str(SHARE_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(_SHARE) if before is None else spark.conf.set(_SHARE, before)
+
+
+def dealt_out(addressed: DataFrame) -> DataFrame:
+    """Lines spread over tasks by their address, however few and large the files are that they were read from."""
+    return addressed.hint("rebalance", *ADDRESS)
+
+
 def with_address(lines: DataFrame) -> DataFrame:
     """``(value, source_uri, block_start, block_row)`` of text files; holds for scans in ``a_task_a_block``."""
     return lines.select(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from viewlake.functions import contract as C
 from viewlake.functions.rules import check_lines
-from viewlake.operators.lines import a_task_a_block, number_lines, require_a_task_a_block
+from viewlake.operators.lines import a_task_a_block, dealt_out, number_lines, require_a_task_a_block, small_shares
 from viewlake.session import new_folder
 from viewlake.sources import storage
 from viewlake.sources.landing import landing_lines, read_manifest, utc_text
@@ -122,20 +122,21 @@ def unknown_field_counts(checked: DataFrame) -> DataFrame:
     return paths.groupBy("path").agg(F.count("*").alias("record_count"))
 
 
-def addressed_and_checked(lines: DataFrame, partitions: int | None = None) -> DataFrame:
+def addressed_and_checked(lines: DataFrame, deal: bool = False) -> DataFrame:
     """Verdicts for lines with their address (see ``landing_lines``).
 
-    ``partitions`` deals the lines out anew, for files of other writers that are large and cannot be split.
+    A line costs far more to check than to read, and a compressed file cannot be split. ``deal`` deals the lines out
+    before they are checked, in shares that adaptive execution sizes (see ``small_shares``).
     """
     addressed = lines.withColumn("task", F.spark_partition_id())
-    return check_lines(addressed.repartition(partitions) if partitions else addressed)
+    return check_lines(dealt_out(addressed) if deal else addressed)
 
 
 def write_layers(checked: DataFrame, run: ValidationRun) -> dict:
     """Write all layers and return the run counts and the ``sources`` that had lines.
 
-    One pass without a shuffle writes raw lines and drift, and holds the quarantined lines with their address. Only
-    those are numbered then (see ``number_lines``) and written into the quarantine layer. The counts are observed in the
+    One pass writes raw lines and drift, and holds the quarantined lines with their address. Only those are numbered
+    then (see ``number_lines``) and written into the quarantine layer. The counts are observed in the
     stage that writes, which counts every partition once even if its task ran several times. The run folder is
     replaced as a whole, so a repeated run leaves no trace of an earlier attempt.
     """
@@ -144,7 +145,7 @@ def write_layers(checked: DataFrame, run: ValidationRun) -> dict:
     # the files of a run are named in its report, so their list is as bounded as that
     sources = F.array_sort(F.collect_set("source_uri")).alias("sources")
     observed = checked.observe(counts, *count_columns(), *code_counts(), sources)
-    with a_task_a_block(spark):
+    with a_task_a_block(spark), small_shares(spark):
         (
             routed_lines(observed)
             .write.mode("overwrite")
@@ -201,7 +202,7 @@ def run_validation(
     manifest = read_manifest(spark, manifest_uri)
     partition = f"extraction_date={manifest.extraction_date}/run_id={manifest.run_id}"
     run = ValidationRun(root, manifest.run_id, partition, validated_at)
-    counts = write_layers(addressed_and_checked(landing_lines(spark, manifest.sources)), run)
+    counts = write_layers(addressed_and_checked(landing_lines(spark, manifest.sources), deal=True), run)
     return finish_report(spark, run, counts, manifest_uri, manifest.sources, job_name)
 
 

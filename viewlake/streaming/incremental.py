@@ -42,7 +42,7 @@ def load_batch(
     run_id = f"{label}-{batch_id:010d}"
     moment = now or dt.datetime.now(dt.timezone.utc)
     run = ValidationRun(layout.validated, run_id, f"stream={label}/run_id={run_id}", moment)
-    counts = write_layers(addressed_and_checked(batch.withColumn("block_row", block_row())), run)
+    counts = write_layers(addressed_and_checked(batch.withColumn("block_row", block_row()), deal=True), run)
     report = finish_report(spark, run, counts, layout.landing, counts["sources"], "stream")
     inputs = {L.MANIFEST_URI: layout.landing, L.RUN_ID: run_id}
     L.publish(spark, layout.ledger, run_id, "validate", {**inputs, **report_properties(report)})
