@@ -15,6 +15,8 @@ def _pattern(date: str, groups: int) -> str:
 # Hyphens are used throughout a date or not at all. A digit behind the week is its day unless more digits follow.
 _CALENDAR = _pattern(r"((?!0000)\d{4})(-?)(\d{2})\2(\d{2})", 4)
 _WEEK = _pattern(r"((?!0000)\d{4})(-?)W(\d{2})(?:\2([1-7])(?!\d))?", 4)
+# The form nearly every time has, which a plain cast reads as the grammar does.
+_USUAL = r"^(?!0000)\d{4}-\d{2}-\d{2}T(?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d(?:\.\d{1,6})?Z\z"
 
 
 def _groups(first: int) -> str:
@@ -60,7 +62,11 @@ def iso_timestamp(text: str) -> str:
         f"case when p[5] = '' then cast({local} as timestamp) else cast(convert_timezone('UTC', current_timezone(),"
         f" case p[5] when '+' then {local} - {ahead} else {local} + {ahead} end) as timestamp) end"
     )
-    return f"get(transform(array({parts}), p -> {moment}), 0)"
+    # lambdas are interpreted, so the whole grammar is left to the times that need it
+    return (
+        f"case when {text} rlike r'{_USUAL}' then try_cast({text} as timestamp)"
+        f" else get(transform(array({parts}), p -> {moment}), 0) end"
+    )
 
 
 def is_iso_timestamp(text: str) -> str:

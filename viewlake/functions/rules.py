@@ -99,7 +99,7 @@ def _record_issues() -> str:
 def _unknown_names(value: str, parent: str | None) -> str:
     known = ", ".join(f"'{name}'" for name in C.known_names(parent))
     names = f"map_keys(try_variant_get({value}, '$', 'map<string,variant>'))"
-    extra = f"filter({names}, name -> name not in ({known}))"
+    extra = f"array_except({names}, array({known}))"
     if parent:
         extra = f"transform({extra}, name -> concat('{parent}.', name))"
     return f"coalesce({extra}, {NO_NAMES})"
@@ -126,7 +126,8 @@ def _type_tag(field: C.Field, line: str) -> str:
     if "integer" in field.kinds:
         # An integer of more digits than a decimal holds has become a double; its text tells.
         digits = f"get_json_object({line}, '$.{field.path}') rlike '^-?[0-9]+$'"
-        kind = f"case when {kind} = 'DOUBLE' and {digits} then 'BIGINT' else {kind} end"
+        # null-safe, or the text of every record without the field would be searched too
+        kind = f"case when {kind} <=> 'DOUBLE' and {digits} then 'BIGINT' else {kind} end"
     return f"{kind} as {_tag(field.path)}"
 
 
