@@ -20,6 +20,12 @@ RECEIVED_TEXT = "try_variant_get(top.received_at, '$', 'string')"
 ADDRESS = ("source_uri", "block_start", "block_row", "event_id")
 
 
+#: Longest line, in bytes, that the pattern of usual records is tried on.
+USUAL_BYTES = 1 << 20
+#: A usual record, or an object in it, has no more members than this.
+_MEMBERS = 64
+
+
 def _issue(code: str, field: str, message: str) -> str:
     return f"named_struct('code', '{code}', 'field', '{field}', 'message', '{message}')"
 
@@ -58,6 +64,9 @@ _OUT_OF_RANGE = (
 )
 
 
+_BAD_SHARE = _issue(C.OUT_OF_RANGE, "percent_viewed", "Expected a number between 0.0 and 1.0.")
+
+
 def _is_clean() -> str:
     """True when no rule fires. Nearly every record takes this cheap way out."""
     parts = ["top is not null"]
@@ -91,8 +100,7 @@ def _record_issues() -> str:
             bad = _issue(C.WRONG_TYPE, parent, "Expected object.")
             found.append(f"case when {_is_no_object(parent)} then {bad} end")
         found.append(_field_issue(field))
-    bad = _issue(C.OUT_OF_RANGE, "percent_viewed", "Expected a number between 0.0 and 1.0.")
-    found.append(f"case when {_OUT_OF_RANGE} then {bad} end")
+    found.append(f"case when {_OUT_OF_RANGE} then {_BAD_SHARE} end")
     return f"array_compact(array({', '.join(found)}))"
 
 
@@ -131,12 +139,63 @@ def _type_tag(field: C.Field, line: str) -> str:
     return f"{kind} as {_tag(field.path)}"
 
 
+_CONTROLS = "".join(rf"\x{code:02x}" for code in range(32))  # one by one they are a table of the matcher, a range is not
+_TEXT = rf'"[^"\\{_CONTROLS}]*"'
+_INTEGER = r"-?(?:0|[1-9]\d{0,17}+)"
+_NUMBER = _INTEGER + r"(?:\.\d{1,25}+)?+(?:[eE][+-]?\d{1,2}+)?+"
+_DAY = r"(?:(?:0[1-9]|1[0-2])-(?:0[1-9]|1\d|2[0-8])|(?:0[13-9]|1[0-2])-(?:29|30)|(?:0[13578]|1[02])-31)"
+_USUAL_VALUES = {
+    "string": _TEXT,
+    "timestamp": rf'"(?!0000)\d{{4}}-{_DAY}T(?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d(?:\.\d{{1,6}})?Z"',
+    "number": _NUMBER,
+    "integer": _INTEGER,
+    "boolean": "(?:true|false)",
+}
+
+
+def _usual_member(field: C.Field) -> str:
+    """Pattern of a member; a required one leaves an empty group behind, and the share a group of its text."""
+    value = "|".join([_USUAL_VALUES[kind] for kind in field.kinds] + ["null"] * (not field.required))
+    group = "(" if field.path == "percent_viewed" else "(?:"
+    return f'{field.name}"{"()" * field.required}: *+{group}{value})'
+
+
+def _usual_object(members: list[str]) -> str:
+    """Pattern of a JSON object of these members, in any order."""
+    return rf'\{{(?:"(?:{"|".join(members)})(?:, *+(?=")|(?=\}}))){{1,{_MEMBERS}}}+\}}'
+
+
+def usual_share(line: str) -> str:
+    """SQL expression: the text of ``percent_viewed`` in a usual record, an empty text for any other line.
+
+    A usual record has all required and else only declared members, and their spelling shows that they have their types.
+    It has no issue but perhaps a share out of range, and no unknown field, and needs no parsing. Escapes in texts, other
+    spellings of times and numbers and whatever else the pattern does not know say nothing about a line. Of members of
+    one name all have to be right, and the last share counts, as in the parser.
+    """
+    members = [_usual_member(f) for f in C.FIELDS if not f.parent]
+    for parent in C.OBJECTS:
+        inner = _usual_object([_usual_member(f) for f in C.FIELDS if f.parent == parent])
+        members.append(f'{parent}": *+(?:null|{inner})')
+    # groups count from the left: an empty one a required member, with the share's text behind its own
+    names = [f.path for f in C.REQUIRED]
+    share = names.index("percent_viewed") + 2
+    groups = [k for k in range(1, len(names) + 2) if k != share]
+    seen = "".join(rf"(?:\{k})" for k in groups)  # refers to a group, and fails unless the group took part
+    shape = rf"\A{_usual_object(members)}[ \t\r]*+\z{seen}"
+    return (
+        f"case when octet_length({line}) <= {USUAL_BYTES} and is_valid_utf8({line})"
+        f" then regexp_extract({line}, r'{shape}', {share}) else '' end"
+    )
+
+
 def check_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Add ``is_valid``, ``issues`` and ``unknown_fields`` to every line.
 
     A line of any length is checked. One member beyond what a VARIANT can hold stops the run with the line's address.
     Each step is used more than once by the next, so Catalyst keeps the projections
-    apart and a line is parsed only once.
+    apart and a line is parsed only once. Usual records (see ``usual_share``) are not parsed at all: of them ``event`` and
+    what follows from it is NULL.
     """
     keep = [f"`{name}`" for name in lines.columns]
     inner = [f"in_{name}" for name in C.OBJECTS]
@@ -149,24 +208,29 @@ def check_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     unknown += [_unknown_names(f"top.{name}", name) for name in C.OBJECTS]
     unknown_fields = f"case when top is null then {NO_NAMES} else concat({', '.join(unknown)}) end"
     issues = (
-        f"case when is_valid then {NO_ISSUES} when event is null and single is null then array({malformed})"
+        f"case when is_valid then {NO_ISSUES} when usual then array({_BAD_SHARE}) when event is null and single is null then array({malformed})"
         f" when top is null then array({no_object}) else {_record_issues()} end"
     )
     result = (
         f"named_struct('is_valid', is_valid, 'issues', {issues}, 'unknown_fields', unknown_fields)"
     )
+    text = "doubtful"
     steps = [
-        [f"{wrapped_line(f'`{column}`')} as wrapped"],
-        [f"{line_value(f'`{column}`', 'wrapped')} as event"],
-        ["event", f"case when event is null then {single_value(f'`{column}`')} end as single"],
-        ["event", "single", f"{object_members('single', kinds)} as apart"],
-        ["event", "single", f"case when apart.{UNREAD} is not null then {too_large} when apart is null"
+        [f"{usual_share(f'`{column}`')} as share"],
+        ["share", "share <> '' as usual"],
+        ["usual", "share <> '' and try_cast(share as double) between 0.0D and 1.0D as in_range",
+         f"case when not usual then `{column}` end as {text}"],
+        ["usual", "in_range", text, f"{wrapped_line(text)} as wrapped"],
+        ["usual", "in_range", text, f"{line_value(text, 'wrapped')} as event"],
+        ["usual", "in_range", "event", f"case when event is null and not usual then {single_value(text)} end as single"],
+        ["usual", "in_range", "event", "single", f"{object_members('single', kinds)} as apart"],
+        ["usual", "in_range", "event", "single", f"case when apart.{UNREAD} is not null then {too_large} when apart is null"
          f" then {_members('event', None)} else struct({', '.join(f'apart.{n}' for n in C.known_names(None))}) end as top"],
-        ["event", "single", "top", *[f"{_members(f'top.{n}', n)} as in_{n}" for n in C.OBJECTS]],
-        ["event", "single", "top", *inner,
-         f"coalesce({is_iso_timestamp(RECEIVED_TEXT)}, false) as is_received_time",
+        ["usual", "in_range", "event", "single", "top", *[f"{_members(f'top.{n}', n)} as in_{n}" for n in C.OBJECTS]],
+        ["usual", "in_range", "event", "single", "top", *inner,
+         f"not usual and coalesce({is_iso_timestamp(RECEIVED_TEXT)}, false) as is_received_time",
          *[_type_tag(f, f"`{column}`") for f in C.FIELDS]],
-        ["*", f"{_is_clean()} as is_valid", f"{unknown_fields} as unknown_fields"],
+        ["*", f"in_range or {_is_clean()} as is_valid", f"{unknown_fields} as unknown_fields"],
         # Filters do not move below a generator. Without it, Catalyst would push one
         # through every projection above and write the parsing out once per use. The
         # generator is interpreted, so only broken records leave it real work.
