@@ -57,3 +57,13 @@ def test_most_lines_of_the_tables_are_not_parsed(spark):
     faulty = B.faulty_lines(spark, "/root/testdata/sf0.001")
     shares = faulty.selectExpr(f"avg(int({rules.usual_share('value')} <> ''))").first()[0]
     assert 0.5 < shares < 1
+
+
+def test_raw_lines_lose_their_line_breaks_without_a_pattern(spark):
+    from viewlake.plans.validate import addressed_and_checked, routed_lines
+
+    texts = [json.dumps(FULL) + end for end in ("", "\r", " \r\r", "\r ")]
+    frame = spark.createDataFrame([(t, "u", 0, i) for i, t in enumerate(texts)], "value string, source_uri string, block_start long, block_row long")
+    routed = routed_lines(addressed_and_checked(frame))
+    assert sorted(map(tuple, routed.collect())) == sorted(("raw", t.rstrip("\r\n")) for t in texts)
+    assert "rtrim(" in (plan := routed._jdf.queryExecution().analyzed().toString().lower()) or "trim(trailing" in plan

@@ -75,7 +75,8 @@ def quarantine_lines(held: DataFrame, run: ValidationRun) -> DataFrame:
 def routed_lines(checked: DataFrame) -> DataFrame:
     """``(layer, line)``: each record is raw or held for quarantine, each unknown path goes to drift."""
     main = F.when(
-        F.col("is_valid"), F.struct(F.lit("raw").alias("layer"), _trimmed(F.col("value")).alias("line"))
+        # behind a valid record is white space alone, so line breaks are taken off without a pattern
+        F.col("is_valid"), F.struct(F.lit("raw").alias("layer"), F.rtrim("value", F.lit("\r\n")).alias("line"))
     ).otherwise(
         F.struct(F.lit(HELD).alias("layer"), held_line().alias("line"))
     )
@@ -85,7 +86,8 @@ def routed_lines(checked: DataFrame) -> DataFrame:
             F.lit("drift").alias("layer"), F.to_json(F.struct(path.alias("path"))).alias("line")
         ),
     )
-    return checked.select(F.inline(F.concat(F.array(main), drift)))
+    lines = F.when(F.size("unknown_fields") == 0, F.array(main)).otherwise(F.concat(F.array(main), drift))
+    return checked.select(F.inline(lines))
 
 
 def count_columns() -> list[Column]:
