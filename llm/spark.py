@@ -39,6 +39,24 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_alone(df: DataFrame, what: str) -> DataFrame:
+    """`written`, after which the shuffle files that the rows came from are removed, where Spark can do so.
+
+    For a `df` that nothing else reads: its shuffles would else lie beside those of the steps that follow.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name, None)
+    conf.set(name, "true")
+    try:
+        # the plan takes the setting when it is made
+        return written(df.select("*"), what)
+    finally:
+        if before is None:
+            conf.unset(name)
+        else:
+            conf.set(name, before)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """`df.checkpoint()`, with the shared folder set first where the session has none."""
     context = df.sparkSession.sparkContext

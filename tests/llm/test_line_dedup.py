@@ -41,6 +41,25 @@ def test_near_lines_equal_brute_force(spark, percent):
     assert found == plain(docs, percent)
 
 
+def test_long_near_lines_and_any_white_space_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(7)
+    base = [[f"{rng.choice('abcd')}{rng.randrange(5000)}" for _ in range(rng.choice([90, 96, 97, 100, 120, 250]))] for _ in range(8)]
+    docs = []
+    for i in range(60):
+        lines = []
+        for _ in range(3):
+            share = rng.choice([0.05, 0.09, 0.1, 0.11, 0.13])
+            own = [w if rng.random() > share else f"x{rng.randrange(5000)}" for w in rng.choice(base)]
+            space = rng.choice([" ", "  ", "\t", " \r", "\x0b \x0c"])
+            lines.append(space + space.join(own) + space)
+        docs.append((i, "\n".join(lines)))
+    found = {r.doc_id: (r.n_lines, r.n_removed, r.kept) for r in dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert found == plain(docs, 80)
+    assert 20 < sum(r[1] for r in found.values()) < 170
+
+
 def test_edges(spark):
     for docs in (corpus.edge_docs(spark), corpus.odd_ids(spark)):
         rows = corpus.ranked(docs)
