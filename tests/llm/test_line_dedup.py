@@ -60,6 +60,30 @@ def test_long_near_lines_and_any_white_space_equal_brute_force(spark):
     assert 20 < sum(r[1] for r in found.values()) < 170
 
 
+def test_steps_that_are_written_leave_no_shuffles(spark, tmp_path):
+    import random
+    import time
+    from pathlib import Path
+
+    def lying() -> dict:
+        folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+        return {f: f.stat().st_size for d in folders for f in Path(d.getPath()).glob("*/shuffle_*.data")}
+
+    rng = random.Random(2)
+    rows = [(i, "\n".join(" ".join(f"w{rng.randrange(300)}" for _ in range(30)) for _ in range(20))) for i in range(400)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    before = set(lying())
+    found = dedup_lines(spark.read.parquet(f"{tmp_path}/docs"))
+    limit = sum(len(t) for _, t in rows) / 10
+    for _ in range(50):  # they go in the background
+        left = sum(v for f, v in lying().items() if f not in before)
+        if left < limit:
+            break
+        time.sleep(0.1)
+    assert left < limit
+    assert found.count() == len(rows)
+
+
 def test_edges(spark):
     for docs in (corpus.edge_docs(spark), corpus.odd_ids(spark)):
         rows = corpus.ranked(docs)
